@@ -41,3 +41,79 @@ SELECT r.zone, z.zone_name, z.population, z.num_schools, r.window_start, r.windo
 FROM rolling r JOIN zone_profile z ON r.zone = z.zone
 WHERE r.rolling_avg_aqi > 150
 """, "air_quality", "zone_profile", extra=(_ROLLING,))
+
+_DLQ = """dlq AS (
+  SELECT CASE WHEN aqi IS NULL THEN 'NULL_AQI'
+              WHEN NOT (aqi BETWEEN 0 AND 500) THEN 'AQI_OUT_OF_RANGE' END AS error_reason,
+         'air_quality' AS source_topic, "partition" AS source_partition, "offset" AS source_offset,
+         event_time AS quarantined_at
+  FROM air_quality
+  UNION ALL
+  SELECT CASE WHEN lat IS NULL OR lon IS NULL THEN 'NULL_GPS'
+              WHEN NOT (lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180) THEN 'IMPOSSIBLE_GPS' END,
+         'bus_gps', "partition", "offset", event_time
+  FROM bus_gps)"""
+
+ORACLE["dlq_records"] = with_streams("""
+SELECT error_reason, source_topic, source_partition, source_offset, quarantined_at
+FROM dlq WHERE error_reason IS NOT NULL
+""", "air_quality", "bus_gps", extra=(_DLQ,))
+
+ORACLE["dlq_error_distribution"] = with_streams("""
+SELECT error_reason, count(*) AS n,
+       round(count(*) * 100.0 / sum(count(*)) OVER (), 4) AS pct
+FROM dlq WHERE error_reason IS NOT NULL GROUP BY error_reason
+""", "air_quality", "bus_gps", extra=(_DLQ,))
+
+ORACLE["dlq_by_topic"] = with_streams("""
+SELECT source_topic, count(*) AS n FROM dlq WHERE error_reason IS NOT NULL GROUP BY source_topic
+""", "air_quality", "bus_gps", extra=(_DLQ,))
+
+ORACLE["dlq_totals"] = with_streams("""
+SELECT count(*) FILTER (WHERE error_reason IS NULL) AS good,
+       count(*) FILTER (WHERE error_reason IS NOT NULL) AS bad
+FROM dlq
+""", "air_quality", "bus_gps", extra=(_DLQ,))
+
+ORACLE["dlq_report_text"] = with_streams("""
+, bad AS (SELECT * FROM dlq WHERE error_reason IS NOT NULL),
+tot AS (SELECT count(*) AS total FROM bad),
+reasons AS (SELECT error_reason AS label, count(*) AS n FROM bad GROUP BY 1),
+topics AS (SELECT source_topic AS label, count(*) AS n FROM bad GROUP BY 1),
+lines AS (
+  SELECT 0 AS sect, 1 AS r, repeat('=', 50) AS line
+  UNION ALL SELECT 0, 2, 'City stream DLQ Report'
+  UNION ALL SELECT 0, 3, 'Window    : 300 seconds'
+  UNION ALL SELECT 0, 4, 'Total bad records: ' || CAST(total AS VARCHAR) FROM tot
+  UNION ALL SELECT 0, 5, repeat('-', 50)
+  UNION ALL SELECT 0, 6, 'Error type distribution:'
+  UNION ALL SELECT 100, row_number() OVER (ORDER BY n DESC, label),
+         printf('   %-18s %6d  (%5.1f%%)', label, n, n * 100.0 / (SELECT total FROM tot)) FROM reasons
+  UNION ALL SELECT 200, 1, repeat('-', 50)
+  UNION ALL SELECT 200, 2, 'By source topic:'
+  UNION ALL SELECT 300, row_number() OVER (ORDER BY n DESC, label), printf('   %-28s %6d', label, n) FROM topics
+  UNION ALL SELECT 400, 1, repeat('=', 50))
+SELECT row_number() OVER (ORDER BY sect, r) AS line_no, line FROM lines
+""", "air_quality", "bus_gps", extra=(_DLQ,))
+
+ORACLE["aqi_data_quality"] = with_streams("""
+SELECT zone, count(*) AS produced, count(*) FILTER (WHERE aqi IS NULL) AS null_aqi
+FROM air_quality GROUP BY zone
+""", "air_quality")
+
+ORACLE["aqi_emergency"] = with_streams("""
+SELECT 'AQI_EMERGENCY' AS incident_type, sensor_id, zone, aqi,
+       "timestamp" AS detected_from_timestamp, event_time, event_id
+FROM air_quality WHERE aqi IS NOT NULL AND aqi > 300
+""", "air_quality")
+
+ORACLE["bus_gps_enriched"] = with_streams("""
+, routes AS (SELECT route_id, max_by(route_name, seq) AS route_name,
+                    max_by(scheduled_arrival_time, seq) AS scheduled_arrival_time,
+                    max_by(terminal, seq) AS terminal
+             FROM route_schedule GROUP BY route_id)
+SELECT g.bus_id, g.route_id, g.lat, g.lon, g.speed_kmh, g.occupancy_pct, g."timestamp", g.event_id,
+       coalesce(r.route_name, 'UNKNOWN') AS route_name, r.scheduled_arrival_time,
+       coalesce(r.terminal, 'UNKNOWN') AS terminal
+FROM bus_gps g LEFT JOIN routes r ON g.route_id = r.route_id
+""", "bus_gps", "route_schedule")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citystream.functions.timefn import to_ntz
-from citystream.operators import aggregates
+from citystream.operators import aggregates, detectors, enrich, quality
 from citystream.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,8 +45,81 @@ def health_advisories(spark: SparkSession, sf_dir: str) -> DataFrame:
               .withColumn("window_end", to_ntz("window_end"))
 
 
+def _validated_streams(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {"air_quality": td.air_quality(spark, sf_dir), "bus_gps": td.bus_gps(spark, sf_dir)}
+
+
+RECORD_COLS = {
+    "air_quality": ["sensor_id", "zone", "pm25", "pm10", "no2", "aqi", "timestamp"],
+    "bus_gps": ["bus_id", "route_id", "lat", "lon", "speed_kmh", "occupancy_pct", "timestamp"],
+}
+
+
+def _dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Replays quarantine at the record's own event time (deterministic clock).
+    return quality.dlq_records(_validated_streams(spark, sf_dir), RECORD_COLS,
+                               clock=F.col("event_time"))
+
+
+def dlq_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarantined records of air_quality and bus_gps."""
+    return _dlq(spark, sf_dir).select("error_reason", "source_topic", "source_partition",
+                                      "source_offset",
+                                      to_ntz("quarantined_at").alias("quarantined_at"))
+
+
+def dlq_error_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count and share of the total per error reason."""
+    out = quality.error_distribution(quality.report_counts(_dlq(spark, sf_dir)))
+    return out.select("error_reason", "n", F.round("pct", 4).alias("pct"))
+
+
+def dlq_by_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: quarantined records per source topic."""
+    return quality.by_source_topic(quality.report_counts(_dlq(spark, sf_dir)))
+
+
+def dlq_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: good / bad totals of the validator."""
+    return quality.good_bad_totals(_validated_streams(spark, sf_dir))
+
+
+def dlq_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixed-width DLQ report as numbered lines."""
+    return quality.report_lines(quality.report_counts(_dlq(spark, sf_dir)), window_seconds=300)
+
+
+def aqi_data_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Produced vs null-AQI readings per zone."""
+    return quality.aqi_data_quality(td.air_quality(spark, sf_dir))
+
+
+def _incident_out(df: DataFrame) -> DataFrame:
+    return df.withColumn("event_time", to_ntz("event_time"))
+
+
+def aqi_emergency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hazardous AQI readings as incidents."""
+    return _incident_out(detectors.aqi_emergencies(td.air_quality(spark, sf_dir)))
+
+
+def bus_gps_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every GPS event with its route schedule (left outer)."""
+    gps = td.bus_gps(spark, sf_dir).select("bus_id", "route_id", "lat", "lon", "speed_kmh",
+                                           "occupancy_pct", "timestamp", "event_id")
+    return enrich.enrich_bus_gps(gps, enrich.route_table(td.route_schedule(spark, sf_dir)))
+
+
 QUERIES: dict[str, Query] = {
     "ward_energy_15m": ward_energy_15m,
     "aqi_rolling_10m": aqi_rolling_10m,
     "health_advisories": health_advisories,
+    "dlq_records": dlq_records,
+    "dlq_error_distribution": dlq_error_distribution,
+    "dlq_by_topic": dlq_by_topic,
+    "dlq_totals": dlq_totals,
+    "dlq_report_text": dlq_report_text,
+    "aqi_data_quality": aqi_data_quality,
+    "aqi_emergency": aqi_emergency,
+    "bus_gps_enriched": bus_gps_enriched,
 }
