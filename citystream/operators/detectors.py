@@ -11,7 +11,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citystream.config import AQI_EMERGENCY, AQI_HAZARDOUS
+from citystream.config import (AQI_EMERGENCY, AQI_HAZARDOUS, GRIDLOCK_CYCLES, GRIDLOCK_WAIT_SEC,
+                               TRAFFIC_GRIDLOCK)
+from citystream.operators import sequence
 
 INCIDENT_COLUMNS = [
     "incident_type", "sensor_id", "junction_id", "route_id", "zone", "aqi", "avg_wait_sec",
@@ -35,3 +37,31 @@ def incident_feed(*alerts: DataFrame) -> DataFrame:
         if c not in u.columns:
             u = u.withColumn(c, F.lit(None))
     return u.select(*INCIDENT_COLUMNS)
+
+
+def gridlock_alerts(signals: DataFrame, wait_sec: float = GRIDLOCK_WAIT_SEC,
+                    cycles: int = GRIDLOCK_CYCLES,
+                    chunk_seconds: int = sequence.DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """Per junction, an alert on every ``cycles``-th consecutive cycle with
+    ``avg_wait_sec`` (missing -> 0) strictly above ``wait_sec``.
+
+    Order is (event_time, event_id). The counter resets on any cycle at or
+    below the threshold and after each alert, so alerts fall exactly on run
+    positions divisible by ``cycles``. Runs are found chunk-split
+    (:func:`sequence.streak_positions`), so a hot junction spreads over tasks.
+    Records without a junction are grouped under 'UNKNOWN' (their alert keeps
+    the null id).
+    """
+    wait = F.coalesce(F.col("avg_wait_sec"), F.lit(0.0))
+    rows = signals.select(
+        F.coalesce("junction_id", F.lit("UNKNOWN")).alias("_key"), "junction_id", "zone",
+        wait.alias("_wait"), (wait > F.lit(float(wait_sec))).alias("_over"), "timestamp",
+        "event_time", "event_id",
+        sequence.time_chunk("event_time", chunk_seconds).alias("_chunk"))
+    runs = sequence.streak_positions(rows, ["_key"], [F.col("event_time").asc_nulls_first(), "event_id"],
+                                     "_over")
+    return (runs.where(F.col("run_pos") % cycles == 0)
+            .select(F.lit(TRAFFIC_GRIDLOCK).alias("incident_type"), "junction_id", "zone",
+                    F.col("_wait").alias("avg_wait_sec"),
+                    F.lit(cycles).alias("consecutive_cycles"),
+                    F.col("timestamp").alias("detected_from_timestamp"), "event_time", "event_id"))

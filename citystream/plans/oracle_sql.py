@@ -117,3 +117,16 @@ SELECT g.bus_id, g.route_id, g.lat, g.lon, g.speed_kmh, g.occupancy_pct, g."time
        coalesce(r.terminal, 'UNKNOWN') AS terminal
 FROM bus_gps g LEFT JOIN routes r ON g.route_id = r.route_id
 """, "bus_gps", "route_schedule")
+
+ORACLE["traffic_gridlock"] = with_streams("""
+, t AS (SELECT *, coalesce(junction_id, 'UNKNOWN') AS k,
+               coalesce(avg_wait_sec, 0.0) > 180 AS over_ FROM traffic_signals),
+isl AS (SELECT *, sum(CASE WHEN over_ THEN 0 ELSE 1 END) OVER (
+          PARTITION BY k ORDER BY event_time NULLS FIRST, event_id ROWS UNBOUNDED PRECEDING) AS island
+        FROM t),
+r AS (SELECT *, row_number() OVER (PARTITION BY k, island ORDER BY event_time NULLS FIRST, event_id) AS rn
+      FROM isl WHERE over_)
+SELECT 'TRAFFIC_GRIDLOCK' AS incident_type, junction_id, zone, coalesce(avg_wait_sec, 0.0) AS avg_wait_sec,
+       3 AS consecutive_cycles, "timestamp" AS detected_from_timestamp, event_time, event_id
+FROM r WHERE rn % 3 = 0
+""", "traffic_signals")

@@ -110,6 +110,11 @@ def bus_gps_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.enrich_bus_gps(gps, enrich.route_table(td.route_schedule(spark, sf_dir)))
 
 
+def traffic_gridlock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 3rd consecutive congested cycle per junction."""
+    return _incident_out(detectors.gridlock_alerts(td.traffic_signals(spark, sf_dir)))
+
+
 QUERIES: dict[str, Query] = {
     "ward_energy_15m": ward_energy_15m,
     "aqi_rolling_10m": aqi_rolling_10m,
@@ -122,4 +127,5 @@ QUERIES: dict[str, Query] = {
     "aqi_data_quality": aqi_data_quality,
     "aqi_emergency": aqi_emergency,
     "bus_gps_enriched": bus_gps_enriched,
+    "traffic_gridlock": traffic_gridlock,
 }
