@@ -18,9 +18,11 @@ def parse_event_time(col: str | Column = "timestamp") -> Column:
 
 
 def epoch_millis(ts: str | Column) -> Column:
-    """Epoch milliseconds, sub-millisecond precision truncated."""
+    """Epoch milliseconds as ``int(seconds_float * 1000)``: microseconds to
+    float seconds, times 1000, truncated — the event-time convention of the
+    detectors (it can differ by 1 ms from exact integer truncation)."""
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_millis(c)
+    return (F.unix_micros(c) / F.lit(1e6) * F.lit(1000.0)).cast("long")
 
 
 def iso_utc(ts: str | Column) -> Column:

@@ -58,8 +58,7 @@ def gridlock_alerts(signals: DataFrame, wait_sec: float = GRIDLOCK_WAIT_SEC,
         wait.alias("_wait"), (wait > F.lit(float(wait_sec))).alias("_over"), "timestamp",
         "event_time", "event_id",
         sequence.time_chunk("event_time", chunk_seconds).alias("_chunk"))
-    runs = sequence.streak_positions(rows, ["_key"], [F.col("event_time").asc_nulls_first(), "event_id"],
-                                     "_over")
+    runs = sequence.streak_positions(rows, ["_key"], ["event_time", "event_id"], "_over")
     return (runs.where(F.col("run_pos") % cycles == 0)
             .select(F.lit(TRAFFIC_GRIDLOCK).alias("incident_type"), "junction_id", "zone",
                     F.col("_wait").alias("avg_wait_sec"),

@@ -16,6 +16,11 @@ DEFAULT_CHUNK_SECONDS = 3600
 NULL_TIME_CHUNK = -(2 ** 62)  # rows without event time sort before every chunk
 
 
+def _sort(order: list[str]) -> list[Column]:
+    # Ascending, nulls first: the same total order a struct comparison uses.
+    return [F.col(c).asc_nulls_first() for c in order]
+
+
 def time_chunk(ts: str | Column, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> Column:
     c = F.col(ts) if isinstance(ts, str) else ts
     return F.coalesce(F.floor(F.unix_micros(c) / F.lit(chunk_seconds * 1_000_000)),
@@ -25,8 +30,9 @@ def time_chunk(ts: str | Column, chunk_seconds: int = DEFAULT_CHUNK_SECONDS) ->
 def adjacent_rows(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
                   chunk_col: str = "_chunk") -> DataFrame:
     """Adds ``prev_<c>`` and ``next_<c>``: c on the previous / next row of the
-    same key in ``order``. ``chunk_col`` must be monotone in ``order``."""
-    w = Window.partitionBy(*keys, chunk_col).orderBy(*order)
+    same key in ``order`` (column names, ascending, nulls first).
+    ``chunk_col`` must be monotone in ``order``."""
+    w = Window.partitionBy(*keys, chunk_col).orderBy(*_sort(order))
     out = df.withColumn("_rn", F.row_number().over(w)) \
             .withColumn("_is_last", F.lead(F.lit(True)).over(w).isNull())
     for c in cols:
@@ -56,7 +62,7 @@ def streak_positions(df: DataFrame, keys: list[str], order: list[str], flag: str
     the length of the run still open at the end of the previous chunk, derived
     from per-chunk (rows, all-flagged, trailing-run) summaries.
     """
-    w = Window.partitionBy(*keys, chunk_col).orderBy(*order)
+    w = Window.partitionBy(*keys, chunk_col).orderBy(*_sort(order))
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = (df.withColumn("_idx", F.row_number().over(w))
               .withColumn("_lb", F.max(F.when(~F.col(flag), F.col("_idx"))).over(upto)))
@@ -83,7 +89,7 @@ def streak_positions(df: DataFrame, keys: list[str], order: list[str], flag: str
 def running_flag_count(df: DataFrame, keys: list[str], order: list[str], flag: str,
                        out: str, chunk_col: str = "_chunk") -> DataFrame:
     """``out`` = number of flagged rows up to and including this row, per key."""
-    w = Window.partitionBy(*keys, chunk_col).orderBy(*order)
+    w = Window.partitionBy(*keys, chunk_col).orderBy(*_sort(order))
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = df.withColumn("_loc", F.sum(F.col(flag).cast("long")).over(upto))
     tot = df.groupBy(*keys, chunk_col).agg(F.sum(F.col(flag).cast("long")).alias("_t"))

@@ -59,7 +59,8 @@ CTES = {
 }
 
 
-def with_streams(body: str, *names: str, extra: tuple[str, ...] = ()) -> str:
-    """``WITH <adapter CTEs>, <extra CTEs> <body>``."""
+def with_streams(body: str, *names: str, extra: tuple[str, ...] = (), recursive: bool = False) -> str:
+    """``WITH [RECURSIVE] <adapter CTEs>, <extra CTEs> <body>``."""
     parts = [CTES[n] for n in names] + list(extra)
-    return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return (head + ",\n".join(parts) + "\n" + body) if parts else body

@@ -130,3 +130,56 @@ SELECT 'TRAFFIC_GRIDLOCK' AS incident_type, junction_id, zone, coalesce(avg_wait
        3 AS consecutive_cycles, "timestamp" AS detected_from_timestamp, event_time, event_id
 FROM r WHERE rn % 3 = 0
 """, "traffic_signals")
+
+
+def _round_ratio_sql(num: str, den: int) -> str:
+    """Binary-exact round(num / den, 1) for integers (twin of functions.numeric)."""
+    step = den // 10
+    q, rem, d = f"({num} // {step})", f"({num} % {step})", f"({num} / {den}.0)"
+    two_k = f"pow(2.0, 53 - CAST(floor(log2({d})) AS INTEGER))"
+    below = f"CAST({d} * {two_k} AS BIGINT) * 20 < ({q} * 2 + 1) * CAST({two_k} AS BIGINT)"
+    return (f"(({q} + CASE WHEN {rem} * 2 > {step} THEN 1 WHEN {rem} * 2 < {step} THEN 0 "
+            f"WHEN {below} THEN 0 ELSE 1 END) / 10.0)")
+
+
+def _bunching_sql(duration_ms: int) -> str:
+    """Sequential model: every event vs the latest position of every other bus
+    on the route; islands of close observations; recursive greedy restart."""
+    hav = ("2 * 6371000.0 * asin(sqrt(least(1.0, sin(radians(y.lat - e.lat) / 2) * sin(radians(y.lat - e.lat) / 2)"
+           " + cos(radians(e.lat)) * cos(radians(y.lat))"
+           " * (sin(radians(y.lon - e.lon) / 2) * sin(radians(y.lon - e.lon) / 2)))))")
+    return with_streams(f"""
+, g AS (SELECT coalesce(route_id, 'UNKNOWN') AS rk, route_id, bus_id, lat, lon, "timestamp", event_time,
+               event_id, coalesce(CAST(trunc(epoch_us(event_time) / 1e6 * 1000.0) AS BIGINT), 0) AS ts_ms,
+               coalesce(epoch_us(event_time), -9223372036854775807) AS ok
+        FROM bus_gps WHERE bus_id IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL),
+obs AS (
+  SELECT e.rk, e.route_id, least(e.bus_id, y.bus_id) AS a, greatest(e.bus_id, y.bus_id) AS b,
+         e.event_time, e.event_id, e.ok, e.ts_ms, e."timestamp", {hav} AS dist
+  FROM g e JOIN g y ON e.rk = y.rk AND e.bus_id <> y.bus_id
+       AND (y.ok < e.ok OR (y.ok = e.ok AND y.event_id < e.event_id))
+  QUALIFY row_number() OVER (PARTITION BY e.rk, e.event_id, y.bus_id ORDER BY y.ok DESC, y.event_id DESC) = 1),
+isl AS (SELECT *, sum(CASE WHEN dist <= 200 THEN 0 ELSE 1 END) OVER (
+          PARTITION BY rk, a, b ORDER BY ok, event_id ROWS UNBOUNDED PRECEDING) AS island
+        FROM obs),
+cl AS (SELECT *, row_number() OVER (PARTITION BY rk, a, b, island ORDER BY ok, event_id) AS rn
+       FROM isl WHERE dist <= 200),
+rec AS (
+  SELECT rk, a, b, island, rn, ts_ms AS first_ms, false AS hit, CAST(0 AS BIGINT) AS elapsed
+  FROM cl WHERE rn = 1
+  UNION ALL
+  SELECT c.rk, c.a, c.b, c.island, c.rn,
+         CASE WHEN c.ts_ms - r.first_ms > {duration_ms} THEN c.ts_ms ELSE r.first_ms END,
+         c.ts_ms - r.first_ms > {duration_ms}, c.ts_ms - r.first_ms
+  FROM rec r JOIN cl c ON c.rk = r.rk AND c.a = r.a AND c.b = r.b AND c.island = r.island
+                       AND c.rn = r.rn + 1)
+SELECT 'BUS_BUNCHING' AS incident_type, c.route_id, c.a AS bus_a, c.b AS bus_b,
+       round(c.dist, 1) AS distance_m, {_round_ratio_sql("r.elapsed", 60000)} AS minutes_close,
+       c."timestamp" AS detected_from_timestamp, c.event_time, c.event_id
+FROM rec r JOIN cl c ON c.rk = r.rk AND c.a = r.a AND c.b = r.b AND c.island = r.island AND c.rn = r.rn
+WHERE r.hit
+""", "bus_gps", recursive=True)
+
+
+ORACLE["bus_bunching"] = _bunching_sql(300_000)
+ORACLE["bus_bunching_day"] = _bunching_sql(86_400_000)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citystream.functions.timefn import to_ntz
-from citystream.operators import aggregates, detectors, enrich, quality
+from citystream.operators import aggregates, bunching, detectors, enrich, quality
 from citystream.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +115,16 @@ def traffic_gridlock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _incident_out(detectors.gridlock_alerts(td.traffic_signals(spark, sf_dir)))
 
 
+def bus_bunching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bunching alerts with the default 300 s rule."""
+    return _incident_out(bunching.bunching_alerts(td.bus_gps(spark, sf_dir)))
+
+
+def bus_bunching_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W5 with an 86,400 s duration: multi-observation runs and restarts."""
+    return _incident_out(bunching.bunching_alerts(td.bus_gps(spark, sf_dir), duration_sec=86_400))
+
+
 QUERIES: dict[str, Query] = {
     "ward_energy_15m": ward_energy_15m,
     "aqi_rolling_10m": aqi_rolling_10m,
@@ -128,4 +138,6 @@ QUERIES: dict[str, Query] = {
     "aqi_emergency": aqi_emergency,
     "bus_gps_enriched": bus_gps_enriched,
     "traffic_gridlock": traffic_gridlock,
+    "bus_bunching": bus_bunching,
+    "bus_bunching_day": bus_bunching_day,
 }
