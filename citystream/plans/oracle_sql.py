@@ -183,3 +183,122 @@ WHERE r.hit
 
 ORACLE["bus_bunching"] = _bunching_sql(300_000)
 ORACLE["bus_bunching_day"] = _bunching_sql(86_400_000)
+
+ORACLE["incident_feed"] = (
+    "SELECT * REPLACE (CAST(consecutive_cycles AS DOUBLE) AS consecutive_cycles) FROM ("
+    f"SELECT * FROM ({ORACLE['aqi_emergency']}) UNION ALL BY NAME "
+    f"SELECT * FROM ({ORACLE['traffic_gridlock']}) UNION ALL BY NAME "
+    f"SELECT * FROM ({ORACLE['bus_bunching']}))")
+
+ORACLE["latest_incidents"] = f"""
+SELECT * FROM ({ORACLE['incident_feed']})
+ORDER BY event_time DESC NULLS LAST, event_id DESC, incident_type, coalesce(bus_a, ''), coalesce(bus_b, '')
+LIMIT 100"""
+
+ORACLE["latest_advisories"] = f"""
+SELECT * FROM ({ORACLE['health_advisories']}) ORDER BY window_start DESC, zone LIMIT 100"""
+
+ORACLE["latest_ward_energy_chart"] = f"""
+SELECT total_kwh_consumed, avg_power_factor, peak_voltage
+FROM ({ORACLE['ward_energy_15m']}) ORDER BY window_start DESC, ward_id LIMIT 100"""
+
+ORACLE["topic_view"] = with_streams("""
+, env AS (SELECT topic, "partition", "offset",
+                 CASE WHEN event_id % 41 = 0 THEN 'garbage text'
+                      ELSE '{"junction_id": "' || junction_id || '", "vehicle_count": '
+                           || CAST(vehicle_count AS VARCHAR) || '}' END AS v
+          FROM traffic_signals)
+SELECT topic, "partition", "offset",
+       '[p' || CAST("partition" AS VARCHAR) || '@' || CAST("offset" AS VARCHAR) || '] '
+       || CASE WHEN json_valid(v) THEN CAST(json(v) AS VARCHAR) ELSE v END AS line
+FROM env
+""", "traffic_signals")
+
+ORACLE["signal_adaptations"] = with_streams("""
+SELECT junction_id, coalesce(avg_wait_sec, 0.0) AS avg_wait_sec, "partition", "offset"
+FROM traffic_signals WHERE coalesce(avg_wait_sec, 0.0) > 180
+""", "traffic_signals")
+
+ORACLE["signal_partition_throughput"] = with_streams("""
+SELECT topic, "partition", count(*) AS messages FROM traffic_signals GROUP BY ALL
+""", "traffic_signals")
+
+ORACLE["consumer_lag"] = with_streams("""
+, ends AS (SELECT topic, "partition", max("offset") + 1 AS end_offset FROM traffic_signals GROUP BY ALL),
+committed AS (
+  SELECT 'HIGH_PRIORITY' AS group_id, topic, "partition", end_offset - "partition" AS committed_offset FROM ends
+  UNION ALL SELECT 'STANDARD_PRIORITY', topic, "partition", end_offset // 2 FROM ends WHERE "partition" = 0
+  UNION ALL SELECT 'STANDARD_PRIORITY', topic, "partition", end_offset + 5 FROM ends WHERE "partition" = 1
+  UNION ALL SELECT 'STANDARD_PRIORITY', topic, "partition" + 1, 10 FROM ends WHERE "partition" = 2),
+per AS (SELECT c.group_id, greatest(0, coalesce(e.end_offset, 0) - c.committed_offset) AS lag
+        FROM committed c LEFT JOIN ends e ON c.topic = e.topic AND c."partition" = e."partition"),
+groups AS (SELECT * FROM (VALUES ('HIGH_PRIORITY'), ('STANDARD_PRIORITY'), ('IDLE')) t(group_id))
+SELECT g.group_id, CAST(l.lag AS DOUBLE) AS lag
+FROM groups g LEFT JOIN (SELECT group_id, CAST(sum(lag) AS BIGINT) AS lag FROM per GROUP BY group_id) l
+  ON g.group_id = l.group_id
+""", "traffic_signals")
+
+ORACLE["zone_status"] = with_streams("""
+, last AS (SELECT * FROM rolling QUALIFY row_number() OVER (PARTITION BY zone ORDER BY window_start DESC) = 1)
+SELECT zone, window_start, round(rolling_avg_aqi, 1) AS rolling_avg_aqi,
+       CASE WHEN rolling_avg_aqi > 300 THEN 'Hazardous' WHEN rolling_avg_aqi > 150 THEN 'Unhealthy'
+            ELSE 'Acceptable' END AS status,
+       'AQI: ' || CASE WHEN rolling_avg_aqi > 300 THEN 'Hazardous' WHEN rolling_avg_aqi > 150 THEN 'Unhealthy'
+                       ELSE 'Acceptable' END || ' in Zone ' || zone AS message
+FROM last
+""", "air_quality", extra=(_ROLLING,))
+
+
+def _rollup_sql(unit: str) -> str:
+    return with_streams(f"""
+, w AS (SELECT ward_id, time_bucket(INTERVAL 15 MINUTE, event_time, {EPOCH}) AS window_start,
+               sum(kwh_reading) AS total_kwh_consumed, avg(power_factor) AS avg_power_factor,
+               max(voltage) AS peak_voltage
+        FROM smart_meters WHERE event_time IS NOT NULL GROUP BY ALL)
+SELECT ward_id, date_trunc('{unit}', window_start) AS period_start,
+       round(sum(total_kwh_consumed), 4) AS total_kwh_consumed,
+       round(avg(avg_power_factor), 4) AS avg_power_factor,
+       round(max(peak_voltage), 4) AS peak_voltage, count(*) AS windows
+FROM w GROUP BY ALL
+""", "smart_meters")
+
+
+ORACLE["ward_energy_weekly"] = _rollup_sql("week")
+ORACLE["ward_energy_monthly"] = _rollup_sql("month")
+
+ORACLE["buses_within_200m"] = with_streams("""
+, pos AS (SELECT bus_id, lat, lon FROM bus_gps
+          WHERE bus_id IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL
+          QUALIFY row_number() OVER (PARTITION BY bus_id ORDER BY event_time DESC, event_id DESC) = 1),
+pairs AS (
+  SELECT a.bus_id AS bus_a, b.bus_id AS bus_b,
+         2 * 6371000.0 * asin(sqrt(least(1.0, sin(radians(b.lat - a.lat) / 2) * sin(radians(b.lat - a.lat) / 2)
+           + cos(radians(a.lat)) * cos(radians(b.lat))
+           * (sin(radians(b.lon - a.lon) / 2) * sin(radians(b.lon - a.lon) / 2))))) AS d
+  FROM pos a JOIN pos b ON a.bus_id < b.bus_id)
+SELECT bus_a, bus_b, round(d, 4) AS distance_m FROM pairs WHERE d <= 200
+""", "bus_gps")
+
+ORACLE["redelivered_dedup"] = with_streams("""
+, d AS (SELECT sensor_id, "timestamp", aqi, "partition", "offset" FROM air_quality
+        UNION ALL
+        SELECT sensor_id, "timestamp", aqi, "partition", "offset" + 1000000 FROM air_quality
+        WHERE event_id % 7 = 0)
+SELECT sensor_id, "timestamp", aqi, "partition", "offset" FROM d
+QUALIFY row_number() OVER (PARTITION BY sensor_id, "timestamp" ORDER BY "offset") = 1
+""", "air_quality")
+
+ORACLE["retention_summary"] = with_streams("""
+, allr AS (SELECT 'air_quality' AS dataset, event_time FROM air_quality
+           UNION ALL SELECT 'bus_gps', event_time FROM bus_gps
+           UNION ALL SELECT 'traffic_signals', event_time FROM traffic_signals
+           UNION ALL SELECT 'smart_meters', event_time FROM smart_meters),
+j AS (SELECT allr.dataset, event_time, as_of,
+             CASE allr.dataset WHEN 'air_quality' THEN 90 WHEN 'bus_gps' THEN 1
+                  WHEN 'traffic_signals' THEN 7 WHEN 'smart_meters' THEN 365 END AS retention_days
+      FROM allr JOIN (SELECT dataset, max(event_time) AS as_of FROM allr GROUP BY dataset) m
+        ON allr.dataset = m.dataset)
+SELECT dataset, retention_days, count(*) AS total,
+       count(*) FILTER (WHERE event_time >= as_of - to_days(retention_days)) AS retained
+FROM j GROUP BY dataset, retention_days
+""", "air_quality", "bus_gps", "traffic_signals", "smart_meters")
