@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
+from citystream.config import STREAM_PARTITIONS
 from citystream.functions.jsonfn import CORRUPT, decode_json
 from citystream.functions.timefn import parse_event_time
 from citystream.schemas import ROUTE_SCHEDULE, ZONE_PROFILE
@@ -66,17 +67,32 @@ def read_envelope(spark: SparkSession, source: str, *, fmt: str = "kafka",
     return reader.format(fmt).load(source)
 
 
-def decode(envelope: DataFrame, schema: StructType, keep_corrupt: bool = False) -> DataFrame:
-    """Value bytes -> typed record fields + ``event_time``; the
-    envelope's topic/partition/offset are kept for DLQ and lag use.
-    Malformed JSON yields ``_corrupt_record`` (kept when asked)."""
+def record_id(partitions: int | None = None):
+    """Unique record id from the envelope, ``offset * P + partition`` with
+    ``P`` the topic's partition count: increasing with the offset inside a
+    partition, hence along every key (a key lives in one partition)."""
+    if partitions is not None:
+        return F.col("offset") * F.lit(partitions) + F.col("partition")
+    p = F.lit(1 << 16)
+    for topic, n in STREAM_PARTITIONS.items():
+        p = F.when(F.col("topic") == topic, F.lit(n)).otherwise(p)
+    return F.col("offset") * p + F.col("partition")
+
+
+def decode(envelope: DataFrame, schema: StructType, keep_corrupt: bool = False,
+           partitions: int | None = None) -> DataFrame:
+    """Value bytes -> typed record fields + ``event_time`` and the
+    ``event_id`` tie-break; the envelope's topic/partition/offset are kept
+    for DLQ and lag use. Malformed JSON yields ``_corrupt_record`` (kept
+    when asked)."""
     d = envelope.select("topic", "partition", "offset",
                         decode_json(F.col("value").cast("string"), schema).alias("d"))
     cols = [F.col(f"d.{f.name}").alias(f.name) for f in schema.fields]
     if keep_corrupt:
         cols.append(F.col(f"d.{CORRUPT}").alias(CORRUPT))
     out = d.select("topic", "partition", "offset", *cols)
-    return out.withColumn("event_time", parse_event_time("timestamp"))
+    return out.withColumn("event_time", parse_event_time("timestamp")) \
+              .withColumn("event_id", record_id(partitions).cast("long"))
 
 
 def read_lookup_csv(spark: SparkSession, path: str, kind: str) -> DataFrame:
