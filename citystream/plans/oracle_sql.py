@@ -6,13 +6,19 @@ from citystream.plans.oracle import with_streams
 
 EPOCH = "TIMESTAMP '1970-01-01 00:00:00'"
 
+
+def R(expr: str, digits: int) -> str:
+    """Spark's ``round`` on a double: round the shortest decimal text of the
+    value half away from zero (DuckDB's own ``round`` uses the binary value)."""
+    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["ward_energy_15m"] = with_streams(f"""
 SELECT ward_id, window_start, window_start + INTERVAL 15 MINUTE AS window_end,
-       round(total_kwh_consumed, 4) AS total_kwh_consumed,
-       round(avg_power_factor, 4) AS avg_power_factor,
-       round(peak_voltage, 4) AS peak_voltage,
+       {R("total_kwh_consumed", 4)} AS total_kwh_consumed,
+       {R("avg_power_factor", 4)} AS avg_power_factor,
+       {R("peak_voltage", 4)} AS peak_voltage,
        CAST(CAST(window_start AS DATE) AS VARCHAR) AS date
 FROM (SELECT ward_id, time_bucket(INTERVAL 15 MINUTE, event_time, {EPOCH}) AS window_start,
              sum(kwh_reading) AS total_kwh_consumed, avg(power_factor) AS avg_power_factor,
@@ -30,14 +36,14 @@ _ROLLING = f"""rolling AS (
         WHERE aqi IS NOT NULL AND aqi = floor(aqi) AND event_time IS NOT NULL)
   GROUP BY zone, window_start)"""
 
-ORACLE["aqi_rolling_10m"] = with_streams("""
-SELECT zone, window_start, window_end, round(rolling_avg_aqi, 4) AS rolling_avg_aqi, readings
+ORACLE["aqi_rolling_10m"] = with_streams(f"""
+SELECT zone, window_start, window_end, {R("rolling_avg_aqi", 4)} AS rolling_avg_aqi, readings
 FROM rolling
 """, "air_quality", extra=(_ROLLING,))
 
-ORACLE["health_advisories"] = with_streams("""
+ORACLE["health_advisories"] = with_streams(f"""
 SELECT r.zone, z.zone_name, z.population, z.num_schools, r.window_start, r.window_end,
-       round(r.rolling_avg_aqi, 1) AS rolling_avg_aqi, r.readings, 'UNHEALTHY' AS advisory_level
+       {R("r.rolling_avg_aqi", 1)} AS rolling_avg_aqi, r.readings, 'UNHEALTHY' AS advisory_level
 FROM rolling r JOIN zone_profile z ON r.zone = z.zone
 WHERE r.rolling_avg_aqi > 150
 """, "air_quality", "zone_profile", extra=(_ROLLING,))
@@ -59,9 +65,9 @@ SELECT error_reason, source_topic, source_partition, source_offset, quarantined_
 FROM dlq WHERE error_reason IS NOT NULL
 """, "air_quality", "bus_gps", extra=(_DLQ,))
 
-ORACLE["dlq_error_distribution"] = with_streams("""
+ORACLE["dlq_error_distribution"] = with_streams(f"""
 SELECT error_reason, count(*) AS n,
-       round(count(*) * 100.0 / sum(count(*)) OVER (), 4) AS pct
+       {R("count(*) * 100.0 / sum(count(*)) OVER ()", 4)} AS pct
 FROM dlq WHERE error_reason IS NOT NULL GROUP BY error_reason
 """, "air_quality", "bus_gps", extra=(_DLQ,))
 
@@ -174,7 +180,7 @@ rec AS (
   FROM rec r JOIN cl c ON c.rk = r.rk AND c.a = r.a AND c.b = r.b AND c.island = r.island
                        AND c.rn = r.rn + 1)
 SELECT 'BUS_BUNCHING' AS incident_type, c.route_id, c.a AS bus_a, c.b AS bus_b,
-       round(c.dist, 1) AS distance_m, {_round_ratio_sql("r.elapsed", 60000)} AS minutes_close,
+       {R("c.dist", 1)} AS distance_m, {_round_ratio_sql("r.elapsed", 60000)} AS minutes_close,
        c."timestamp" AS detected_from_timestamp, c.event_time, c.event_id
 FROM rec r JOIN cl c ON c.rk = r.rk AND c.a = r.a AND c.b = r.b AND c.island = r.island AND c.rn = r.rn
 WHERE r.hit
@@ -238,9 +244,9 @@ FROM groups g LEFT JOIN (SELECT group_id, CAST(sum(lag) AS BIGINT) AS lag FROM p
   ON g.group_id = l.group_id
 """, "traffic_signals")
 
-ORACLE["zone_status"] = with_streams("""
+ORACLE["zone_status"] = with_streams(f"""
 , last AS (SELECT * FROM rolling QUALIFY row_number() OVER (PARTITION BY zone ORDER BY window_start DESC) = 1)
-SELECT zone, window_start, round(rolling_avg_aqi, 1) AS rolling_avg_aqi,
+SELECT zone, window_start, {R("rolling_avg_aqi", 1)} AS rolling_avg_aqi,
        CASE WHEN rolling_avg_aqi > 300 THEN 'Hazardous' WHEN rolling_avg_aqi > 150 THEN 'Unhealthy'
             ELSE 'Acceptable' END AS status,
        'AQI: ' || CASE WHEN rolling_avg_aqi > 300 THEN 'Hazardous' WHEN rolling_avg_aqi > 150 THEN 'Unhealthy'
@@ -249,6 +255,11 @@ FROM last
 """, "air_quality", extra=(_ROLLING,))
 
 
+def D(expr: str) -> str:
+    """Double -> exact DECIMAL through its shortest text (Spark's cast)."""
+    return f"CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,18))"
+
+
 def _rollup_sql(unit: str) -> str:
     return with_streams(f"""
 , w AS (SELECT ward_id, time_bucket(INTERVAL 15 MINUTE, event_time, {EPOCH}) AS window_start,
@@ -256,9 +267,9 @@ def _rollup_sql(unit: str) -> str:
                max(voltage) AS peak_voltage
         FROM smart_meters WHERE event_time IS NOT NULL GROUP BY ALL)
 SELECT ward_id, date_trunc('{unit}', window_start) AS period_start,
-       round(sum(total_kwh_consumed), 4) AS total_kwh_consumed,
-       round(avg(avg_power_factor), 4) AS avg_power_factor,
-       round(max(peak_voltage), 4) AS peak_voltage, count(*) AS windows
+       CAST(round(sum({D("total_kwh_consumed")}), 4) AS DOUBLE) AS total_kwh_consumed,
+       {R(f'sum({D("avg_power_factor")}) / count(*)', 4)} AS avg_power_factor,
+       {R("max(peak_voltage)", 4)} AS peak_voltage, count(*) AS windows
 FROM w GROUP BY ALL
 """, "smart_meters")
 
@@ -266,7 +277,7 @@ FROM w GROUP BY ALL
 ORACLE["ward_energy_weekly"] = _rollup_sql("week")
 ORACLE["ward_energy_monthly"] = _rollup_sql("month")
 
-ORACLE["buses_within_200m"] = with_streams("""
+ORACLE["buses_within_200m"] = with_streams(f"""
 , pos AS (SELECT bus_id, lat, lon FROM bus_gps
           WHERE bus_id IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL
           QUALIFY row_number() OVER (PARTITION BY bus_id ORDER BY event_time DESC, event_id DESC) = 1),
@@ -276,7 +287,7 @@ pairs AS (
            + cos(radians(a.lat)) * cos(radians(b.lat))
            * (sin(radians(b.lon - a.lon) / 2) * sin(radians(b.lon - a.lon) / 2))))) AS d
   FROM pos a JOIN pos b ON a.bus_id < b.bus_id)
-SELECT bus_a, bus_b, round(d, 4) AS distance_m FROM pairs WHERE d <= 200
+SELECT bus_a, bus_b, {R("d", 4)} AS distance_m FROM pairs WHERE d <= 200
 """, "bus_gps")
 
 ORACLE["redelivered_dedup"] = with_streams("""

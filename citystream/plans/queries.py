@@ -145,8 +145,18 @@ def incident_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest 100 incidents, newest first."""
-    return _feed_out(serving.latest(_feed(spark, sf_dir), serving.incident_order()))
+    """The newest 100 incidents, newest first.
+
+    The top-100 of a union is the top-100 of the per-detector top-100s, so
+    each branch is cut to 100 rows before the union (bounded final sort).
+    """
+    order = serving.incident_order()
+    branches = [detectors.incident_feed(b) for b in (
+        detectors.aqi_emergencies(td.air_quality(spark, sf_dir)),
+        detectors.gridlock_alerts(td.traffic_signals(spark, sf_dir)),
+        bunching.bunching_alerts(td.bus_gps(spark, sf_dir)))]
+    tops = [serving.latest(b, order) for b in branches]
+    return _feed_out(serving.latest(detectors.incident_feed(*tops), order))
 
 
 def latest_advisories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,8 +234,8 @@ def zone_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _rollup(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
     out = history.ward_rollup(aggregates.ward_energy(td.smart_meters(spark, sf_dir)), unit)
     return out.select("ward_id", to_ntz("period_start").alias("period_start"),
-                      *[F.round(c, 4).alias(c) for c in ("total_kwh_consumed", "avg_power_factor",
-                                                         "peak_voltage")], "windows")
+                      *[F.round(c, 4).cast("double").alias(c) for c in ("total_kwh_consumed", "avg_power_factor",
+                                                                        "peak_voltage")], "windows")
 
 
 def ward_energy_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
