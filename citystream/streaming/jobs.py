@@ -125,3 +125,45 @@ def dlq_query(records: DataFrame, record_cols: dict[str, list[str]], dlq_fmt: st
     observed = records.observe("dlq_totals", F.count_if(reason.isNull()).alias("good"),
                                F.count_if(reason.isNotNull()).alias("bad"))
     return _writer(observed, name, "append").foreachBatch(dlq_batch_writer(record_cols, dlq_fmt, dlq_target))
+
+
+def dedup_stream(records: DataFrame, keys: list[str], delay: str = WATERMARK_DELAY) -> DataFrame:
+    """T9/X4 streaming: drop redelivered copies (at-least-once sources)
+    whose first copy arrived within the watermark delay; state for a key is
+    evicted once the watermark passes, so it stays bounded."""
+    return records.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(keys)
+
+
+def consumer_group_queries(signals_for_group, sink_root: str, trigger: dict | None = None,
+                           pools: tuple[str, str] = ("high", "standard")) -> list:
+    """Two independent consumer groups on one topic, started and returned.
+
+    Each group is its own query (own source instance and checkpoint) started
+    from its own scheduler pool (a thread-local property read at start), so
+    a slow STANDARD group never delays HIGH_PRIORITY. ``signals_for_group``
+    returns a fresh decoded stream for a group. HIGH_PRIORITY emits signal
+    adaptations (P5); STANDARD_PRIORITY keeps message counts per partition (A7).
+    """
+    from citystream.operators import serving
+    started = []
+    for group, pool in zip(("HIGH_PRIORITY", "STANDARD_PRIORITY"), pools):
+        stream = signals_for_group(group)
+        sc = stream.sparkSession.sparkContext
+        if group == "HIGH_PRIORITY":
+            out, mode, write_mode = serving.signal_adaptations(stream), "append", "append"
+        else:
+            out, mode, write_mode = serving.partition_throughput(stream), "complete", "overwrite"
+        target = os.path.join(sink_root, group)
+
+        def sink(batch, batch_id, target=target, write_mode=write_mode):
+            batch.write.mode(write_mode).parquet(target)
+
+        w = _writer(out, f"signals_{group}_{os.path.basename(sink_root)}", mode).foreachBatch(sink)
+        if trigger:
+            w = w.trigger(**trigger)
+        sc.setLocalProperty("spark.scheduler.pool", pool)
+        try:
+            started.append(w.start())
+        finally:
+            sc.setLocalProperty("spark.scheduler.pool", None)
+    return started

@@ -160,3 +160,29 @@ def test_dlq_stream_with_malformed_records(spark, tmp):
     assert reasons["AQI_OUT_OF_RANGE"] == air.where("aqi > 500").count()
     totals = [p["observedMetrics"]["dlq_totals"] for p in q.recentProgress if p.get("observedMetrics")]
     assert sum(t["bad"] for t in totals) == sum(reasons.values())
+
+
+def test_streaming_dedup_and_consumer_groups(spark, tmp):
+    air = td.air_quality(spark, SF)
+    # Redeliver every 7th record in the next file (same payload, later offset).
+    again = air.where(F.col("event_id") % 7 == 0).withColumn("offset", F.col("offset") + 1_000_000)
+    src = os.path.join(tmp, "dup")
+    fields = [f.name for f in schemas.AIR_QUALITY.fields]
+    stage(air.unionByName(again), fields, "sensor_id", src, 3)
+    out = os.path.join(tmp, "dedup_out")
+    collect_to(jobs.dedup_stream(stream_of(spark, src, schemas.AIR_QUALITY), ["sensor_id", "timestamp"]),
+               out, f"dedup_{os.path.basename(tmp)}")
+    assert spark.read.parquet(out).count() == air.count()
+
+    sig = td.traffic_signals(spark, SF)
+    src = os.path.join(tmp, "sig")
+    stage(sig, [f.name for f in schemas.TRAFFIC_SIGNALS.fields], "junction_id", src, 2)
+    root = os.path.join(tmp, "groups")
+    queries = jobs.consumer_group_queries(lambda g: stream_of(spark, src, schemas.TRAFFIC_SIGNALS), root,
+                                          trigger={"availableNow": True})
+    for q in queries:
+        q.awaitTermination()
+    high = spark.read.parquet(os.path.join(root, "HIGH_PRIORITY"))
+    assert high.count() == sig.where("coalesce(avg_wait_sec, 0) > 180").count()
+    std = spark.read.parquet(os.path.join(root, "STANDARD_PRIORITY"))
+    assert sum(r.messages for r in std.collect()) == sig.count()
