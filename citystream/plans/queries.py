@@ -145,18 +145,9 @@ def incident_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest 100 incidents, newest first.
-
-    The top-100 of a union is the top-100 of the per-detector top-100s, so
-    each branch is cut to 100 rows before the union (bounded final sort).
-    """
-    order = serving.incident_order()
-    branches = [detectors.incident_feed(b) for b in (
-        detectors.aqi_emergencies(td.air_quality(spark, sf_dir)),
-        detectors.gridlock_alerts(td.traffic_signals(spark, sf_dir)),
-        bunching.bunching_alerts(td.bus_gps(spark, sf_dir)))]
-    tops = [serving.latest(b, order) for b in branches]
-    return _feed_out(serving.latest(detectors.incident_feed(*tops), order))
+    """The newest 100 incidents, newest first (one top-100 over the
+    union: the branches run in parallel and each task keeps at most 100 rows)."""
+    return _feed_out(serving.latest(_feed(spark, sf_dir), serving.incident_order()))
 
 
 def latest_advisories(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,16 +42,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_ROOT: str | None = None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster's shared folder). Only when
-    the session leaves it unset (local tests) is a scratch folder created.
+    Read from ``spark.checkpoint.dir`` (the cluster's shared folder, a static
+    setting given at submit time). Only when the session leaves it unset —
+    local runs and tests — is a per-process scratch folder used instead.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    global _LOCAL_ROOT
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="citystream-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if _LOCAL_ROOT is None:
+            _LOCAL_ROOT = tempfile.mkdtemp(prefix="citystream-ckpt-")
+        root = _LOCAL_ROOT
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
     return root

@@ -29,22 +29,28 @@ def ward_energy_batch_writer(history_path: str, topic_fmt: str, topic_target: st
                              topic_options: dict[str, str] | None = None):
     """K5: one micro-batch to Parquet history and to the summary topic.
 
-    Empty batches are skipped; the batch is persisted once for its two
-    writes. A marker table records finished batch ids so a replayed batch
-    (restart after a failure between commit points) is not appended twice.
+    The batch is materialised once (persist + count) and empty batches are
+    skipped. A marker table records finished batch ids: only the first batch
+    after a (re)start can be a replay of a batch that already reached the
+    sinks, so the marker table is consulted once per query start.
     """
+    state = {"checked": False}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         markers = os.path.join(history_path, "_batches")
-        if _batch_done(spark, markers, batch_id) or batch.isEmpty():
-            return
+        if not state["checked"]:
+            state["checked"] = True
+            if _batch_done(spark, markers, batch_id):
+                return
         out = aggregates.with_partition_date(batch).persist()
         try:
+            n = out.count()
+            if n == 0:
+                return
             history.write_history(out.withColumn("batch_id", F.lit(batch_id).cast("long")), history_path)
             sinks.write_topic_batch(sinks.as_topic_records(out, key="ward_id"), topic_fmt, topic_target,
                                     topic_options)
-            n = out.count()
             spark.createDataFrame([(batch_id, n)], "batch_id long, rows long") \
                  .write.mode("append").parquet(markers)
         finally:
