@@ -26,6 +26,7 @@ def build_session(master: str = "local[*]", app: str = "citystream",
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "8g")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.streaming.stateStore.providerClass",
                  "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"))
     for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
