@@ -143,9 +143,9 @@ def _round_ratio_sql(num: str, den: int) -> str:
     step = den // 10
     q, rem, d = f"({num} // {step})", f"({num} % {step})", f"({num} / {den}.0)"
     two_k = f"pow(2.0, 53 - CAST(floor(log2({d})) AS INTEGER))"
-    below = f"CAST({d} * {two_k} AS BIGINT) * 20 < ({q} * 2 + 1) * CAST({two_k} AS BIGINT)"
+    lhs, rhs = f"CAST({d} * {two_k} AS BIGINT) * 20", f"({q} * 2 + 1) * CAST({two_k} AS BIGINT)"
     return (f"(({q} + CASE WHEN {rem} * 2 > {step} THEN 1 WHEN {rem} * 2 < {step} THEN 0 "
-            f"WHEN {below} THEN 0 ELSE 1 END) / 10.0)")
+            f"WHEN {lhs} < {rhs} THEN 0 WHEN {lhs} > {rhs} THEN 1 ELSE {q} % 2 END) / 10.0)")
 
 
 def _bunching_sql(duration_ms: int) -> str:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import random
 
 import models
+from pyspark.sql import functions as F
 from citystream.operators import bunching, detectors
 from helpers import frame, ts
 
@@ -53,6 +54,10 @@ def _gps(seed: int, n: int = 300):
     return rows
 
 
+def round_ratio_py(elapsed_ms):
+    return round(elapsed_ms / 60000, 1)
+
+
 def test_bunching_matches_model(spark):
     total = 0
     for seed in range(3):
@@ -63,10 +68,13 @@ def test_bunching_matches_model(spark):
             tt = ts(r["t"])
             seq.append(dict(r, event_id=i, ts_ms=int(tt.replace(tzinfo=__import__("datetime").timezone.utc)
                                                       .timestamp() * 1000)))
-        for dur, bucket, chunk in ((300, 120, 60), (1200, 3600, 3600), (300, None, 3600)):
-            want = sorted((e, a, b) for e, a, b, _, _ in models.bunching(seq, duration_ms=dur * 1000))
-            got = sorted((r.event_id, r.bus_a, r.bus_b) for r in bunching.bunching_alerts(
-                df, duration_sec=dur, bucket_seconds=bucket, chunk_seconds=chunk).collect())
+        for dur, bucket, chunk, tchunk in ((300, 120, 60, 300), (1200, 3600, 3600, 3600),
+                                           (300, None, 3600, 86_400)):
+            want = sorted((e, a, b, el) for e, a, b, _, el in models.bunching(seq, duration_ms=dur * 1000))
+            got = sorted((r.event_id, r.bus_a, r.bus_b, r.elapsed) for r in bunching.bunching_alerts(
+                df, duration_sec=dur, bucket_seconds=bucket, chunk_seconds=chunk, timer_chunk_seconds=tchunk)
+                .withColumn("elapsed", F.col("minutes_close")).collect())
+            want = sorted((e, a, b, round_ratio_py(el)) for e, a, b, el in want)
             assert got == want, (seed, dur, bucket, chunk)
             total += len(want)
     assert total > 10

@@ -70,7 +70,8 @@ def test_broadcast_only_when_small(spark):
 
 
 def test_round_ratio_matches_binary_rounding(spark):
-    nums = [55_149_000, 20_679_000, 20_679_001, 303_000, 330_000, 3_000, 9_000, 123_456_789]
+    nums = [55_149_000, 20_679_000, 20_679_001, 303_000, 330_000, 3_000, 9_000, 123_456_789,
+            915_000, 909_000, 45_000, 15_000]
     got = [r[0] for r in spark.createDataFrame([(n,) for n in nums], "n long")
            .select(round_ratio(F.col("n"), 60000, 1)).collect()]
     assert got == [round(n / 60000, 1) for n in nums]
