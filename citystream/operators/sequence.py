@@ -33,23 +33,23 @@ def adjacent_rows(df: DataFrame, keys: list[str], order: list[str], cols: list[s
     same key in ``order`` (column names, ascending, nulls first).
     ``chunk_col`` must be monotone in ``order``."""
     w = Window.partitionBy(*keys, chunk_col).orderBy(*_sort(order))
-    out = df.withColumn("_rn", F.row_number().over(w)) \
-            .withColumn("_is_last", F.lead(F.lit(True)).over(w).isNull())
-    for c in cols:
-        out = out.withColumn(f"prev_{c}", F.lag(c).over(w)).withColumn(f"next_{c}", F.lead(c).over(w))
+    local = df.select("*", F.row_number().over(w).alias("_rn"),
+                      F.lead(F.lit(True)).over(w).isNull().alias("_is_last"),
+                      *[F.lag(c).over(w).alias(f"_lag_{c}") for c in cols],
+                      *[F.lead(c).over(w).alias(f"_lead_{c}") for c in cols])
     okey = F.struct(*order)
     edges = (df.groupBy(*keys, chunk_col)
              .agg(F.min_by(F.struct(*cols), okey).alias("_f"), F.max_by(F.struct(*cols), okey).alias("_l")))
     we = Window.partitionBy(*keys).orderBy(chunk_col)
     edges = edges.select(*keys, chunk_col, F.lag("_l").over(we).alias("_pl"),
                          F.lead("_f").over(we).alias("_nf"))
-    out = out.join(edges, [*keys, chunk_col], "left")
-    for c in cols:
-        out = out.withColumn(f"prev_{c}", F.when(F.col("_rn") == 1, F.col(f"_pl.{c}"))
-                             .otherwise(F.col(f"prev_{c}")))
-        out = out.withColumn(f"next_{c}", F.when(F.col("_is_last"), F.col(f"_nf.{c}"))
-                             .otherwise(F.col(f"next_{c}")))
-    return out.drop("_rn", "_is_last", "_pl", "_nf")
+    joined = local.join(edges, [*keys, chunk_col], "left")
+    return joined.select(
+        *df.columns,
+        *[F.when(F.col("_rn") == 1, F.col(f"_pl.{c}")).otherwise(F.col(f"_lag_{c}")).alias(f"prev_{c}")
+          for c in cols],
+        *[F.when(F.col("_is_last"), F.col(f"_nf.{c}")).otherwise(F.col(f"_lead_{c}")).alias(f"next_{c}")
+          for c in cols])
 
 
 def streak_positions(df: DataFrame, keys: list[str], order: list[str], flag: str,
