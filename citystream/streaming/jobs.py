@@ -173,3 +173,24 @@ def consumer_group_queries(signals_for_group, sink_root: str, trigger: dict | No
         finally:
             sc.setLocalProperty("spark.scheduler.pool", None)
     return started
+
+
+def incident_queries(air: DataFrame, signals: DataFrame, gps: DataFrame, sink_root: str,
+                     name: str = "incidents", bunching_sec: int | None = None,
+                     trigger: dict | None = None) -> list:
+    """U1/K6 streaming: the three detectors feed one incidents sink. Spark
+    allows one keyed-state operator per query, so each detector is its own
+    query (own checkpoint) writing the unified incident schema: to one Kafka
+    topic, or here to ``<sink_root>/<detector>/`` folders read as one table."""
+    started = []
+    for part, df in (("aqi", emergency_stream(air)), ("gridlock", gridlock_incidents(signals)),
+                     ("bunching", bunching_incidents(gps, bunching_sec))):
+        feed = detectors.incident_feed(df)
+        target = os.path.join(sink_root, part)
+
+        def sink(batch, batch_id, target=target):
+            batch.write.mode("append").parquet(target)
+
+        w = _writer(feed, f"{name}_{part}", "append").foreachBatch(sink)
+        started.append((w.trigger(**trigger) if trigger else w).start())
+    return started

@@ -186,3 +186,21 @@ def test_streaming_dedup_and_consumer_groups(spark, tmp):
     assert high.count() == sig.where("coalesce(avg_wait_sec, 0) > 180").count()
     std = spark.read.parquet(os.path.join(root, "STANDARD_PRIORITY"))
     assert sum(r.messages for r in std.collect()) == sig.count()
+
+
+def test_incident_feed_stream(spark, tmp):
+    streams = {}
+    for name, fn, schema, key in (("air", td.air_quality, schemas.AIR_QUALITY, "sensor_id"),
+                                  ("sig", td.traffic_signals, schemas.TRAFFIC_SIGNALS, "junction_id"),
+                                  ("gps", td.bus_gps, schemas.BUS_GPS, "route_id")):
+        src = os.path.join(tmp, name)
+        stage(fn(spark, SF), [f.name for f in schema.fields], key, src, 2)
+        streams[name] = stream_of(spark, src, schema)
+    out = os.path.join(tmp, "incidents")
+    for q in jobs.incident_queries(streams["air"], streams["sig"], streams["gps"], out,
+                                   name=f"incidents_{os.path.basename(tmp)}", bunching_sec=86_400,
+                                   trigger={"availableNow": True}):
+        q.awaitTermination()
+    feed = spark.read.parquet(os.path.join(out, "*"))
+    got = {r.incident_type: r["count"] for r in feed.groupBy("incident_type").count().collect()}
+    assert got == {"AQI_EMERGENCY": 36, "TRAFFIC_GRIDLOCK": 36, "BUS_BUNCHING": 81}
