@@ -84,16 +84,3 @@ def streak_positions(df: DataFrame, keys: list[str], order: list[str], flag: str
     return (rows.where(F.col(flag)).join(carry, [*keys, chunk_col], "left")
             .withColumn("run_pos", F.col("_idx") - F.coalesce("_lb", -F.col("_carry")))
             .drop("_idx", "_lb", "_carry"))
-
-
-def running_flag_count(df: DataFrame, keys: list[str], order: list[str], flag: str,
-                       out: str, chunk_col: str = "_chunk") -> DataFrame:
-    """``out`` = number of flagged rows up to and including this row, per key."""
-    w = Window.partitionBy(*keys, chunk_col).orderBy(*_sort(order))
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = df.withColumn("_loc", F.sum(F.col(flag).cast("long")).over(upto))
-    tot = df.groupBy(*keys, chunk_col).agg(F.sum(F.col(flag).cast("long")).alias("_t"))
-    ws = Window.partitionBy(*keys).orderBy(chunk_col).rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select(*keys, chunk_col, F.coalesce(F.sum("_t").over(ws), F.lit(0)).alias("_off"))
-    return (local.join(tot, [*keys, chunk_col], "left")
-            .withColumn(out, F.col("_loc") + F.col("_off")).drop("_loc", "_off"))
