@@ -37,12 +37,43 @@ def build_session(master: str = "local[*]", app: str = "citystream",
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the semantics the operators need on an existing session (idempotent)."""
+    """Pin the semantics the operators need on an existing session and make
+    the package importable by Python workers (idempotent)."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Python tasks (mapInPandas, applyInPandasWithState) unpickle functions
+    of this package, so executors need it on their path: zip it once per
+    application into the checkpoint folder and register it with addPyFile
+    (what --py-files does at submit time)."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_dir)
+    target = os.path.join(checkpoint_root(spark), "pyfiles")
+    os.makedirs(target, exist_ok=True)
+    path = os.path.join(target, f"citystream-{app}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 _LOCAL_ROOT: str | None = None
 
 

@@ -20,6 +20,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from citystream.config import (BUNCHING_DISTANCE_M, BUNCHING_DURATION_SEC, BUS_BUNCHING, EARTH_RADIUS_M,
                                GRIDLOCK_CYCLES, GRIDLOCK_WAIT_SEC, TRAFFIC_GRIDLOCK)
 from citystream.functions.numeric import round_ratio
+from citystream.session import prepare
 
 GRIDLOCK_OUT = ("incident_type string, junction_id string, zone string, avg_wait_sec double, "
                 "consecutive_cycles int, detected_from_timestamp string, event_time timestamp, event_id long")
@@ -55,6 +56,7 @@ def gridlock_stream(signals: DataFrame, wait_sec: float = GRIDLOCK_WAIT_SEC,
         state.update((streak,))
         yield pd.DataFrame(hits, columns=[c.split()[0] for c in GRIDLOCK_OUT.split(", ")])
 
+    prepare(signals.sparkSession)
     rows = signals.select(F.coalesce("junction_id", F.lit("UNKNOWN")).alias("_key"), "junction_id", "zone",
                           "avg_wait_sec", "timestamp", "event_time", "event_id")
     return rows.groupBy("_key").applyInPandasWithState(
@@ -106,6 +108,7 @@ def bunching_stream(gps: DataFrame, distance_m: float = BUNCHING_DISTANCE_M,
         state.update((json.dumps({"pos": pos, "pairs": [[a, b, t] for (a, b), t in pairs.items()]}),))
         yield pd.DataFrame(hits, columns=[c.split()[0] for c in BUNCHING_RAW.split(", ")])
 
+    prepare(gps.sparkSession)
     rows = gps.select(F.coalesce("route_id", F.lit("UNKNOWN")).alias("_rk"), "route_id", "bus_id", "lat", "lon",
                       "timestamp", "event_time", "event_id")
     raw = rows.groupBy("_rk").applyInPandasWithState(
