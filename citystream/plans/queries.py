@@ -265,6 +265,7 @@ def retention_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = F.lit(None).cast("int")
     for name in td.STREAMS:
         days = F.when(F.col("dataset") == name, F.lit(RETENTION_DAYS[name])).otherwise(days)
+    # as_of has one row per dataset in td.STREAMS (four): a size fixed by the code.
     j = allr.join(F.broadcast(as_of), "dataset").withColumn("retention_days", days)
     keep = F.col("event_time") >= F.col("as_of") - F.make_dt_interval(days=F.col("retention_days"))
     return j.groupBy("dataset", "retention_days").agg(F.count("*").alias("total"),
