@@ -165,7 +165,7 @@ def report_lines(counts: DataFrame, window_seconds: int) -> DataFrame:
     )).alias("x")).select("x.sect", "x.r", "x.line")
     lines = fixed.unionByName(body)
     return lines.select(
-        F.row_number().over(Window.orderBy("sect", "r")).alias("line_no"), "line")
+        F.row_number().over(Window.orderBy("sect", "r")).cast("long").alias("line_no"), "line")
 
 
 def aqi_data_quality(air: DataFrame, by: tuple[str, ...] = ("zone",)) -> DataFrame:
