@@ -89,3 +89,22 @@ def test_history_write_read_rollup(spark, tmp):
     assert back.count() == 4
     weekly = {r.period_start.day: float(r.total_kwh_consumed) for r in history.ward_rollup(back, "week").collect()}
     assert weekly == {1: 2.0, 8: 2.0}
+
+
+def test_bounded_dlq_report_file(spark, tmp):
+    import datetime as dt
+    from citystream.operators import quality
+    t0 = dt.datetime(2024, 1, 1, 12, 0, 0)
+    dlq = spark.createDataFrame(
+        [("NULL_AQI", "air_quality", t0 - dt.timedelta(seconds=s)) for s in (10, 100, 299)]
+        + [("NULL_GPS", "bus_gps", t0 - dt.timedelta(seconds=301)),
+           ("IMPOSSIBLE_GPS", "bus_gps", t0 - dt.timedelta(seconds=50))],
+        "error_reason string, source_topic string, quarantined_at timestamp")
+    recent = quality.within_last(dlq, 300, as_of=F.lit(t0).cast("timestamp"))
+    out = os.path.join(tmp, "dlq_report")
+    sinks.write_report(quality.report_lines(quality.report_counts(recent), 300), out)
+    text = "".join(open(os.path.join(out, f)).read() for f in sorted(os.listdir(out)) if f.startswith("part"))
+    assert "Total bad records: 4" in text
+    assert "   NULL_AQI                3  ( 75.0%)" in text
+    assert "   IMPOSSIBLE_GPS          1  ( 25.0%)" in text
+    assert "   air_quality                       3" in text and "NULL_GPS" not in text
