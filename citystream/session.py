@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-import os
+import re
+import sys
 import tempfile
+import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # Settings every job in the package relies on. Event times are UTC; AQE re-plans
@@ -38,63 +41,50 @@ def build_session(master: str = "local[*]", app: str = "citystream",
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the semantics the operators need on an existing session and make
-    the package importable by Python workers (idempotent)."""
+    the package usable in Python workers (idempotent)."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    ship_package(spark)
+    ship_package()
     return spark
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Python tasks (mapInPandas, applyInPandasWithState) unpickle functions
-    of this package, so executors need it on their path: zip it once per
-    application into the checkpoint folder and register it with addPyFile
-    (what --py-files does at submit time)."""
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _SHIPPED:
-        return
-    import zipfile
-
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    base = os.path.dirname(pkg_dir)
-    target = os.path.join(checkpoint_root(spark), "pyfiles")
-    os.makedirs(target, exist_ok=True)
-    path = os.path.join(target, f"citystream-{app}.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, files in os.walk(pkg_dir):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(folder, f)
-                    z.write(full, os.path.relpath(full, base))
-    sc.addPyFile(path)
-    _SHIPPED.add(app)
+def ship_package() -> None:
+    """Python tasks (mapInPandas, applyInPandasWithState) run functions of
+    this package. They travel by value inside the pickled task, so executors
+    need neither the package on their path nor a file in a shared folder."""
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
 
 _LOCAL_ROOT: str | None = None
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and lineage-cutting tables.
+    """Shared folder (a path or URI) for checkpoints and lineage-cutting tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster's shared folder, a static
-    setting given at submit time). Only when the session leaves it unset —
-    local runs and tests — is a per-process scratch folder used instead.
+    Read from ``spark.checkpoint.dir``, the cluster's shared folder. Where it
+    is unset, a per-process scratch folder serves ``local`` masters only; on a
+    cluster that would be a folder per machine, so the call raises.
     """
     global _LOCAL_ROOT
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         if _LOCAL_ROOT is None:
             _LOCAL_ROOT = tempfile.mkdtemp(prefix="citystream-ckpt-")
         root = _LOCAL_ROOT
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
+    root = root.rstrip("/")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(f"{root}/rdd")
     return root
 
 
 def checkpoint_location(spark: SparkSession, query_name: str) -> str:
     """One streaming checkpoint directory per query name (K9)."""
-    return os.path.join(checkpoint_root(spark), "streams", query_name)
+    return f"{checkpoint_root(spark)}/streams/{query_name}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder for a table or archive of one run."""
+    return f"{checkpoint_root(spark)}/scratch/{name}-{uuid.uuid4().hex}"

@@ -14,7 +14,7 @@ def spark():
     from citystream.session import build_session
     ckpt = tempfile.mkdtemp(prefix="citystream-test-")
     s = build_session("local[*]", "citystream-tests", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": ckpt})
+                      extra={"spark.checkpoint.dir": f"file://{ckpt}"})
     yield s
     s.stop()
 

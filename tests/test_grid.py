@@ -1,18 +1,20 @@
 """The spatial grid never separates two points within the radius, including
-high latitudes, the poles and the antimeridian; the shipped package zip
-holds every subpackage."""
+high latitudes, the poles and the antimeridian; tasks carry the
+package's functions by value."""
 
 from __future__ import annotations
 
 import math
-import os
 import random
-import zipfile
+import subprocess
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from citystream.operators.bunching import Grid
-from citystream.session import checkpoint_root, ship_package
+from citystream.operators import timer
+from citystream.session import ship_package
 from models import haversine_m
 
 
@@ -39,10 +41,10 @@ def test_close_points_share_or_neighbour_a_cell(spark):
     assert checked.where(~F.col("ok")).count() == 0
 
 
-def test_shipped_zip_has_every_subpackage(spark):
-    ship_package(spark)
-    folder = os.path.join(checkpoint_root(spark), "pyfiles")
-    zips = [os.path.join(folder, f) for f in os.listdir(folder) if f.endswith(".zip")]
-    names = zipfile.ZipFile(zips[0]).namelist()
-    for sub in ("functions", "operators", "plans", "sources", "streaming"):
-        assert f"citystream/{sub}/__init__.py" in names
+def test_tasks_need_no_package_on_the_workers(spark):
+    ship_package()
+    code = cloudpickle.dumps(timer.resolve)
+    probe = ("import pickle, sys; f = pickle.loads(sys.stdin.buffer.read()); "
+             "assert 'citystream' not in sys.modules; print(f.__name__)")
+    out = subprocess.run([sys.executable, "-c", probe], input=code, capture_output=True, cwd="/")
+    assert out.stdout.split()[-1] == b"resolve", out.stderr
