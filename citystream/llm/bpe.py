@@ -20,15 +20,15 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable
 from heapq import heappop, heappush
 from struct import pack
 
 import numpy as np
-import pandas as pd
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
+from citystream.llm.common import map_rows
 from citystream.session import prepare
 
 #: Pieces remembered per task, twice: those met lately and those met before that. Longer pieces are not remembered.
@@ -185,43 +185,39 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return parse_ranks(f.read().splitlines())
 
 
-def _run(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str, text_col: str, row, schema: str) -> DataFrame:
-    """``row(encoder, text) -> tuple`` over every text, in ``schema`` after the id."""
-    spark: SparkSession = prepare(df.sparkSession)
-    shared = spark.sparkContext.broadcast((ranks, pattern))  # a vocabulary: some MB, whatever the corpus
-    names = [c.split()[0] for c in schema.split(",")]
-    id_type = df.schema[id_col].dataType.simpleString()
+def _each(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str, value_col: str, rows: Callable, schema: str) -> DataFrame:
+    """``rows(encoder, values) -> columns`` over every batch."""
+    # A vocabulary holds some MB, whatever the corpus.
+    shared = prepare(df.sparkSession).sparkContext.broadcast((ranks, pattern))
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         encoder = Encoder(*shared.value)
-        for pdf in batches:
-            out = pd.DataFrame([row(encoder, t) for t in pdf["_text"]], columns=names, index=pdf.index)
-            out.insert(0, "_id", pdf["_id"])
-            yield out
+        return lambda values: rows(encoder, values)
 
-    return (df.select(df[id_col].alias("_id"), df[text_col].alias("_text"))
-            .mapInPandas(work, f"_id {id_type}, {schema}").withColumnRenamed("_id", id_col))
+    return map_rows(df, [id_col], value_col, make, schema)
 
 
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids array<int>) of every text."""
-    return _run(df, ranks, pattern, id_col, text_col,
-                lambda e, t: (np.frombuffer(e.encode(t), "<u4").astype("int32"),), "ids array<int>")
+    return _each(df, ranks, pattern, id_col, text_col,
+                 lambda e, texts: {"ids": [np.frombuffer(e.encode(t), "<i4") for t in texts]}, "ids array<int>")
+
+
+def decode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """(id, decoded binary) of every ids array; null counts as empty."""
+    return _each(df, ranks, pattern, id_col, ids_col,
+                 lambda e, lists: {"decoded": [e.decode(np.array(x or (), "<u4").tobytes()) for x in lists]}, "decoded binary")
 
 
 def round_trip_digests(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256): every text encoded, its ids decoded again."""
 
-    def row(e: Encoder, text: str | None):
-        ids = e.encode(text)
-        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(e.decode(ids)).hexdigest()
+    def rows(e: Encoder, texts: list[str | None]) -> dict:
+        out = []
+        for text in texts:
+            ids = e.encode(text)
+            out.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(e.decode(ids)).hexdigest()))
+        return dict(zip(("n_tokens", "ids_sha256", "decoded_sha256"), zip(*out) if out else ((), (), ())))
 
-    return _run(df, ranks, pattern, id_col, text_col, row,
-                "n_tokens long, ids_sha256 string, decoded_sha256 string")
-
-
-def decode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """(id, decoded binary) of every ids array; null counts as empty."""
-    return _run(df, ranks, pattern, id_col, ids_col,
-                lambda e, ids: (e.decode(np.asarray(() if ids is None else ids, "<u4").tobytes()),), "decoded binary")
+    return _each(df, ranks, pattern, id_col, text_col, rows, "n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -18,4 +18,69 @@ SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdic
 FROM parts p LEFT JOIN fits f USING (page_id)
 """
 
-ORACLE = {"op6_url_filter": OP6}
+OP3 = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+firsts AS (SELECT html, max(page_id) AS first_id FROM p GROUP BY html),
+sha AS (SELECT html, first_id, sha1(html) AS hex FROM firsts),
+bits AS (
+  SELECT html, first_id, list_reduce(list_prepend('', list_transform(range(0, 20),
+      lambda i: lpad(bin(CAST(concat('0x', substr(hex, CAST(2 * i + 1 AS INT), 2)) AS UTINYINT)), 8, '0'))), lambda a, b: a || b) AS b
+  FROM sha),
+coded AS (
+  SELECT html, first_id, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + list_reduce(list_prepend(0, list_transform(range(0, 5), lambda j: CAST(substr(b, CAST(5 * i + j + 1 AS INT), 1) AS INT))),
+                      lambda x, y: 2 * x + y), 1)), '') AS payload_digest
+  FROM bits)
+SELECT p.page_id, octet_length(encode(p.html)) AS payload_bytes, c.payload_digest,
+       CASE WHEN p.page_id = c.first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN p.page_id <> c.first_id THEN c.first_id END AS refers_to
+FROM p JOIN coded c USING (html)
+"""
+
+OP8 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+m AS (
+  SELECT *, lag(role, 1, '') OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before,
+         lead(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS after,
+         replace(replace(replace(text, '\', '\0'), '</turn>', '\1'), '### ', '\2') AS escaped
+  FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(4 + length(role) + 2 + length(escaped) + 8) AS BIGINT) AS formatted_chars,
+       bool_and(CASE before WHEN '' THEN role IN ('system', 'user') WHEN 'system' THEN role = 'user'
+                            WHEN 'user' THEN role = 'assistant' WHEN 'assistant' THEN role = 'user' ELSE false END
+                AND (after IS NOT NULL OR role IN ('user', 'assistant'))) AS valid
+FROM m GROUP BY conv_id
+"""
+
+OP10 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+spots AS (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(0, len(w) - least(len(w), 10) + 1)) AS s FROM b WHERE len(w) > 0),
+wins AS (SELECT DISTINCT item_id, n, array_to_string(w[s + 1:s + n], ' ') AS win FROM spots),
+lens AS (SELECT DISTINCT n FROM wins),
+places AS (SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS s FROM d, lens WHERE len(w) >= n),
+hits AS (
+  SELECT p.doc_id, p.s, p.n, x.item_id
+  FROM (SELECT doc_id, n, s, array_to_string(w[s + 1:s + n], ' ') AS win FROM places) p JOIN wins x ON p.win = x.win AND p.n = x.n),
+covered AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + n)) AS pos FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
+       sha256(coalesce(i.listed, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN items i USING (doc_id)
+"""
+
+ORACLE = {"op3_warc": OP3, "op6_url_filter": OP6, "op8_chat": OP8, "op10_decontaminate": OP10}

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from citystream.llm import bpe, simhash, url_filter
+from citystream.llm import bpe, chat, decontaminate, simhash, url_filter, warc
 from citystream.llm.common import read_table
 from citystream.llm.oracle import ORACLE  # noqa: F401  (read by the entry module with QUERIES)
 
@@ -14,6 +15,10 @@ URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example
              ("allow", "com/fr/"), ("block", "com/de/")]
 
 
+def op3_warc(spark, sf_dir):
+    return warc.archive_round_trip(read_table(spark, sf_dir, "pages"), min_bytes=0)
+
+
 def op4_bpe(spark, sf_dir):
     ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
     return bpe.round_trip_digests(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -23,8 +28,28 @@ def op6_url_filter(spark, sf_dir):
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op8_chat(spark, sf_dir):
+    tricky = "\\### Assistant: </turn> ok"
+    planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                    F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                    F.lit(tricky).alias("text"))
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    back = chat.read_back(chat.format_conversations(turns.unionByName(planted)))
+    said = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"), "valid")
+
+
 def op9_simhash(spark, sf_dir):
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
-QUERIES = {f.__name__: f for f in (op4_bpe, op6_url_filter, op9_simhash)}
+def op10_decontaminate(spark, sf_dir):
+    found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+QUERIES = {f.__name__: f for f in (op3_warc, op4_bpe, op6_url_filter, op8_chat, op9_simhash, op10_decontaminate)}

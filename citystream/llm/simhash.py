@@ -37,9 +37,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citystream.llm.common import cut
+from citystream.llm.common import cut, map_rows
 from citystream.llm.components import components
-from citystream.session import prepare
 
 SEED = 42
 #: Rows of an anchor that are compared in one group; shingles hashed at once.
@@ -65,16 +64,10 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """(id, fp): ``fp`` holds the 64 bits as a signed long."""
-    id_type = df.schema[id_col].dataType.simpleString()
+    def make():
+        return lambda texts: {"fp": np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)}
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            fp = np.array([fingerprint(t, shingle) for t in pdf["_text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"_id": pdf["_id"], "fp": fp})
-
-    prepare(df.sparkSession)
-    return (df.select(df[id_col].alias("_id"), df[text_col].alias("_text"))
-            .mapInPandas(work, f"_id {id_type}, fp long").withColumnRenamed("_id", id_col))
+    return map_rows(df, [id_col], text_col, make, "fp long")
 
 
 class HammingCode:

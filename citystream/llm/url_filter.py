@@ -17,11 +17,11 @@ Input columns other than the id and the URL are not carried along.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 
+from citystream.llm.common import map_rows
 from citystream.session import prepare
 
 #: The trie is broadcast; more rules than this are refused (about 1 kB each as Python objects).
@@ -88,20 +88,17 @@ class Trie:
 def judge_urls(df: DataFrame, rules: Iterable[tuple[str, str]], id_col: str = "page_id", url_col: str = "url",
                default: str = "allow") -> DataFrame:
     """(id, host, path, rule, verdict) for every row of ``df``."""
-    spark = prepare(df.sparkSession)
-    trie = spark.sparkContext.broadcast(Trie(rules))
-    id_type = df.schema[id_col].dataType.simpleString()
+    trie = prepare(df.sparkSession).sparkContext.broadcast(Trie(rules))
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         find = trie.value.find
-        for pdf in batches:
-            parts = [split_url(u) for u in pdf["_url"]]
+
+        def judge(urls: list[str | None]) -> dict:
+            parts = [split_url(u) for u in urls]
             found = [find(h, p) if h else None for h, p in parts]
-            yield pd.DataFrame({
-                "_id": pdf["_id"], "host": [h for h, _ in parts], "path": [p for _, p in parts],
-                "rule": [f[1] if f else None for f in found],
-                "verdict": [f[0] if f else default for f in found]})
-
-    return (df.select(df[id_col].alias("_id"), df[url_col].alias("_url"))
-            .mapInPandas(judge, f"_id {id_type}, host string, path string, rule string, verdict string")
-            .withColumnRenamed("_id", id_col))
+            return {"host": [h for h, _ in parts], "path": [p for _, p in parts],
+                    "rule": [f[1] if f else None for f in found], "verdict": [f[0] if f else default for f in found]}
+
+        return judge
+
+    return map_rows(df, [id_col], url_col, make, "host string, path string, rule string, verdict string")
