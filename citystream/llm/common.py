@@ -40,7 +40,7 @@ def ascii_lower(text):
 
 
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(),
-          "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
+          "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}
 
 
 def map_rows(df: DataFrame, keep: list[str], value_col: str, make: Callable[[], Callable], schema: str) -> DataFrame:

@@ -1,5 +1,18 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+OP5 = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 10
+"""
+
 OP6 = r"""
 WITH parts AS (
   SELECT page_id, lower(regexp_extract(split_tail, '^[^/?#]*')) AS host,
@@ -83,4 +96,4 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_
 FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN items i USING (doc_id)
 """
 
-ORACLE = {"op3_warc": OP3, "op6_url_filter": OP6, "op8_chat": OP8, "op10_decontaminate": OP10}
+ORACLE = {"op3_warc": OP3, "op5_top_k": OP5, "op6_url_filter": OP6, "op8_chat": OP8, "op10_decontaminate": OP10}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from citystream.llm import bpe, chat, decontaminate, simhash, url_filter, warc
+from citystream.llm import bpe, chat, decontaminate, html_text, license, simhash, topk, toxicity, url_filter, warc
 from citystream.llm.common import read_table
 from citystream.llm.oracle import ORACLE  # noqa: F401  (read by the entry module with QUERIES)
 
@@ -15,6 +15,19 @@ URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example
              ("allow", "com/fr/"), ("block", "com/de/")]
 
 
+def op1_html(spark, sf_dir):
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op2_license(spark, sf_dir):
+    """The documents as a file tree: a source is a project, a language a folder
+    with a folder for every 100 ids; the short documents are its licence files."""
+    docs = read_table(spark, sf_dir, "documents")
+    name = F.when(F.char_length("text") <= 400, F.concat(F.lit("LICENSE-"), "doc_id")).otherwise(F.concat("doc_id", F.lit(".txt")))
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), name)
+    return license.scan(docs.select(path.alias("path"), "text"))
+
+
 def op3_warc(spark, sf_dir):
     return warc.archive_round_trip(read_table(spark, sf_dir, "pages"), min_bytes=0)
 
@@ -24,10 +37,18 @@ def op4_bpe(spark, sf_dir):
     return bpe.round_trip_digests(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op5_top_k(spark, sf_dir):
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op6_url_filter(spark, sf_dir):
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_toxicity(spark, sf_dir):
+    return toxicity.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_chat(spark, sf_dir):
     tricky = "\\### Assistant: </turn> ok"
     planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -52,4 +73,4 @@ def op10_decontaminate(spark, sf_dir):
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op3_warc, op4_bpe, op6_url_filter, op8_chat, op9_simhash, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_html, op2_license, op3_warc, op4_bpe, op5_top_k, op6_url_filter, op7_toxicity, op8_chat, op9_simhash, op10_decontaminate)}

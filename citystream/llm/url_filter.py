@@ -88,10 +88,13 @@ class Trie:
 def judge_urls(df: DataFrame, rules: Iterable[tuple[str, str]], id_col: str = "page_id", url_col: str = "url",
                default: str = "allow") -> DataFrame:
     """(id, host, path, rule, verdict) for every row of ``df``."""
-    trie = prepare(df.sparkSession).sparkContext.broadcast(Trie(rules))
+    # Plain dicts: broadcasts are unpickled by reference, which a class would need the package for.
+    root = prepare(df.sparkSession).sparkContext.broadcast(Trie(rules).root)
 
     def make():
-        find = trie.value.find
+        trie = Trie(())
+        trie.root = root.value
+        find = trie.find
 
         def judge(urls: list[str | None]) -> dict:
             parts = [split_url(u) for u in urls]

@@ -204,7 +204,10 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
                 out = pd.DataFrame(found, columns=[c.split()[0] for c in RECORDS.split(", ")])
                 yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    return frames.sortWithinPartitions("bundle", "frame").mapInPandas(work, RECORDS)
+    # The index is small, its frames aren't: a count of partitions that is kept, about 64 MB of records each.
+    total = frames.agg(F.sum("plain")).first()[0] or 0
+    parts = max(index.sparkSession.sparkContext.defaultParallelism, total >> 26)
+    return frames.repartition(parts, "bundle", "frame").sortWithinPartitions("bundle", "frame").mapInPandas(work, RECORDS)
 
 
 def read_record(spark: SparkSession, index: DataFrame, folder: str, page_id: int) -> list[bytes]:

@@ -9,25 +9,40 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citystream.llm import bpe, simhash
-from citystream.llm.common import bounded, cut
+from citystream.llm import bpe, decontaminate, simhash, toxicity
+from citystream.llm.common import bounded, cut, read_table
 from citystream.llm.queries import VOCABULARY
 from citystream.session import prepare, scratch_path
 
 
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` but for the rows whose doc_id is among the ``rejected`` ones.
+    Only those ids are shuffled or, if counted few, broadcast; rows without a
+    doc_id stay."""
+    return docs.join(bounded(rejected.select("doc_id").distinct()), "doc_id", "left_anti").select(docs.columns)
+
+
+def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    judged = toxicity.judge(docs, read_table(spark, sf_dir, "labels"))
+    return without(docs, cut(judged.where("toxic")))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each component. Rows
     without a doc_id can't be named and stay; repeated rows count once."""
     prepare(spark)
     found = cut(simhash.near_duplicates(docs, shingle=3, max_bits=3).select("doc_id", "component_id"))
-    copies = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = without(docs, found.where("doc_id <> component_id"))
     repeated = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    kept = docs.join(bounded(copies), "doc_id", "left_anti")
     if repeated.isEmpty():
         return kept
-    repeated = bounded(repeated)
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(
-        kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
+    once = kept.join(bounded(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return without(kept, repeated).unionByName(once)
+
+
+def contaminated_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    return without(docs, found.where("contaminated"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,9 +50,10 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(docs, ranks, public_tokenizers.PATTERN)
 
 
-STAGES = [("near_duplicates", near_duplicates), ("bpe", tokens)]
+STAGES = [("toxicity", toxic_documents), ("near_duplicates", near_duplicates),
+          ("decontamination", contaminated_documents), ("bpe", tokens)]
 
-#: SQL can't express the first stage's classifier nor the last one's merges.
+#: SQL can express neither the first stage's classifier nor the last one's merges.
 ORACLE_SQL = None
 
 
