@@ -32,7 +32,8 @@ from citystream.llm.common import map_rows
 #: Lines in a block, characters at which text surges, share of link text that makes a line a menu.
 WIDTH, SURGE, LINKS = 3, 80, 0.6
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>|[^<]+|<""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>|</?[a-zA-Z][^<>]*(?:>|\Z)|[^<]+|<""",
+                    re.S)
 _NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 
 #: Elements whose content is no text at all.
@@ -83,7 +84,7 @@ class Lines:
             pos = m.end()
             tag = m[2]
             if tag is None:
-                if not m[0].startswith("<") or m[0] == "<":
+                if not m[0].startswith("<") or m[0] == "<":  # else a comment, a declaration or a broken tag
                     self.parts.append(m[0])
                     self.linked += len(m[0].strip()) if self.links else 0
                 continue

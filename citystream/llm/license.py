@@ -6,10 +6,13 @@ Weights are integers (a thousandth of a nat), so that sums are exact. A
 candidate matches the template of the highest cosine if that reaches
 ``THRESHOLD``.
 
-A candidate that reaches the threshold must hold one of a template's heavier
-terms: without them the cosine is at most the norm share of the lighter rest.
-Files and lines without any such term are passed over, which loses no match.
-Equal candidates are scored once, however many files hold them.
+A candidate that reaches the threshold must hold one of a template's leading
+terms: without them the cosine is at most the norm share of the rest, which is
+chosen under the threshold, common words first. And it must have few other
+words: with k words of any template among d distinct ones, the cosine's square
+is at most k^2 / (k^2 + d - k). Candidates that fail a bound are passed over,
+which loses no match. Equal candidates are scored once, under their hash,
+however many files hold them.
 
 A file without a licence of its own takes that of the nearest directory above
 it (its own included) that has a licence file: directories are joined with
@@ -36,6 +39,10 @@ from citystream.session import prepare
 
 THRESHOLD = 0.7
 WORD = r"[^a-z0-9.]+"
+#: Words so common in running text that a match must not hang on them, where that can be had. Fixed values.
+COMMON = frozenset("""a about all an and any are as at be been but by can do for from had has have he her his i if in into is it its
+may me mit more my no not of on one only or other our out see she so some than that the their them then there these they this to
+up use used was we were what when which who will with would you your""".split())
 LICENSE_FILE = r"(?i)(^|/)(licen[sc]e|copying|notice|unlicense)[^/]*$"
 
 #: Statements and headers by SPDX name. Fixed values.
@@ -80,18 +87,32 @@ class Model:
         self.weights = {t: weigh(n) for t, n in df.items()}
         self.postings = [(t, i, n * self.weights[t]) for i, c in enumerate(counts) for t, n in sorted(c.items())]
         self.norms = [(i, templates[i][0], sum((n * self.weights[t]) ** 2 for t, n in c.items())) for i, c in enumerate(counts)]
-        heavy = set()
+        leading = set()
         for (i, _, norm), c in zip(self.norms, counts):
             light = 0
-            for t in sorted(c, key=lambda t: (c[t] * self.weights[t], t)):
+            for t in sorted(c, key=lambda t: (t not in COMMON, c[t] * self.weights[t], t)):
                 light += (c[t] * self.weights[t]) ** 2
                 if light >= threshold ** 2 * norm:
-                    heavy.add(t)
-        self.heavy = sorted(heavy)
+                    leading.add(t)
+        self.leading = sorted(leading)
+
+    @staticmethod
+    def _any(words) -> str:
+        return rf"(?i)(?<![a-z0-9])({'|'.join(map(re.escape, words))})(?![a-z0-9])"
 
     def pattern(self) -> str:
-        """Finds texts that hold a heavy term."""
-        return rf"(?i)(?<![a-z0-9])({'|'.join(map(re.escape, self.heavy))})(?![a-z0-9])"
+        """Finds texts that hold a leading term."""
+        return self._any(self.leading)
+
+    def possible(self, line: str) -> Column:
+        """Whether the bounds let ``line`` match."""
+        k = F.regexp_count(line, F.lit(self._any(sorted(self.weights, key=lambda w: (-len(w), w)))))
+        d = F.size(F.array_distinct(tokens(line)))
+        return F.col(line).rlike(self.pattern()) & (k * k >= self.threshold ** 2 * (k * k + F.greatest(d - k, F.lit(0))))
+
+
+def tokens(line: str) -> Column:
+    return F.filter(F.transform(F.split(F.lower(line), WORD), lambda x: F.btrim(x, F.lit("."))), lambda x: x != "")
 
 
 def _rows(spark, rows: list[tuple], schema: str) -> DataFrame:
@@ -102,25 +123,25 @@ def _rows(spark, rows: list[tuple], schema: str) -> DataFrame:
 
 
 def scores(candidates: DataFrame, model: Model) -> DataFrame:
-    """(line, license, score) of the distinct ``line`` values that match."""
+    """(line_id, license, score) of the rows (line_id, line) that match."""
     spark = candidates.sparkSession
-    tokens = F.filter(F.transform(F.split(F.lower("line"), WORD), lambda x: F.btrim(x, F.lit("."))), lambda x: x != "")
-    terms = (candidates.select("line").distinct().select("line", F.explode(tokens).alias("term"))
-             .groupBy("line", "term").agg(F.count("*").alias("tf")))
+    terms = (candidates.groupBy("line_id").agg(F.first("line").alias("line"))
+             .select("line_id", F.explode(tokens("line")).alias("term"))
+             .groupBy("line_id", "term").agg(F.count("*").alias("tf")))
     # All three tables are the templates', a fixed few hundred rows.
     weights = F.broadcast(_rows(spark, sorted(model.weights.items()), "term string, weight bigint"))
     postings = F.broadcast(_rows(spark, model.postings, "term string, template int, part bigint"))
     norms = F.broadcast(_rows(spark, model.norms, "template int, license string, norm bigint"))
     weighed = cut(terms.join(weights, "term", "left")
-                  .select("line", "term", (F.col("tf") * F.coalesce("weight", F.lit(model.unseen))).alias("part_a")))
-    own = weighed.groupBy("line").agg(F.sum(F.col("part_a") * F.col("part_a")).alias("norm_a"))
-    dots = (weighed.join(postings, "term").groupBy("line", "template")
+                  .select("line_id", "term", (F.col("tf") * F.coalesce("weight", F.lit(model.unseen))).alias("part_a")))
+    own = weighed.groupBy("line_id").agg(F.sum(F.col("part_a") * F.col("part_a")).alias("norm_a"))
+    dots = (weighed.join(postings, "term").groupBy("line_id", "template")
             .agg(F.sum(F.col("part_a") * F.col("part")).alias("dot")))
     cosine = F.col("dot").cast("double") / F.sqrt(F.col("norm").cast("double") * F.col("norm_a").cast("double"))
-    return (dots.join(norms, "template").join(own, "line").withColumn("score", cosine)
+    return (dots.join(norms, "template").join(own, "line_id").withColumn("score", cosine)
             .where(F.col("score") >= model.threshold)
-            .groupBy("line").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("best"))
-            .select("line", F.col("best.license").alias("license"), (-F.col("best.s")).alias("score")))
+            .groupBy("line_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("best"))
+            .select("line_id", F.col("best.license").alias("license"), (-F.col("best.s")).alias("score")))
 
 
 def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", model: Model | None = None,
@@ -131,13 +152,12 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", model
     model = model or Model()
     rows = files.select(files[path_col].alias("path"), files[text_col].alias("text"))
     named = F.coalesce(license_file if license_file is not None else F.col("path").rlike(LICENSE_FILE), F.lit(False))
-    heavy = model.pattern()
     whole = F.when(named, F.array("text")).otherwise(F.array().cast("array<string>"))
-    lines = (rows.where(F.col("text").rlike(heavy))
+    lines = (rows.where(F.col("text").rlike(model.pattern()))
              .select("path", F.explode(F.concat(F.split("text", "\n"), whole)).alias("line"))
-             .where(F.col("line").rlike(heavy)))
-    matched = bounded(scores(lines, model))
-    own = cut(lines.join(matched, "line").groupBy("path")
+             .where(model.possible("line")).select("path", F.sha2("line", 256).alias("line_id"), "line"))
+    matched = bounded(cut(scores(lines, model)))
+    own = cut(lines.select("path", "line_id").join(matched, "line_id").groupBy("path")
               .agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("best"))
               .select("path", F.col("best.license").alias("own"), (-F.col("best.s")).alias("own_score")))
     directory = F.regexp_replace("path", r"/?[^/]*$", "")

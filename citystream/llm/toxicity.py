@@ -35,6 +35,8 @@ from citystream.session import prepare
 MAX_TRAIN, FEATURES, FOLDS, RIDGE = 20_000, 64, 5, 0.1
 #: A word must occur in this share of a category's documents, in so many of them, and deviate by so many standard errors.
 SHARE, LEAST, DEVIATION = 0.05, 3, 5.0
+#: Least precision that a threshold must have on the out-of-fold predictions.
+PRECISION = 0.95
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -88,14 +90,17 @@ def fit_linear(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """Where ``p`` has the best F1: half-way to the next lower value; 0.5 without positives."""
-    if not y.any():
-        return 0.5
+    """Where ``p`` has the best F1 of all cuts with a precision of at least
+    ``PRECISION``: half-way to the next lower value. 0.5 if there is none, as
+    without positives or without a word that tells them apart."""
     order = np.argsort(-p, kind="stable")
-    p, hits = p[order], np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(p) + 1) + hits[-1])
+    p, hits, said = p[order], np.cumsum(y[order]), np.arange(1, len(p) + 1)
+    f1 = 2 * hits / (said + hits[-1])
+    f1[hits < PRECISION * said] = 0
     f1[:-1][p[:-1] == p[1:]] = 0  # equal values can't be told apart
     best = int(f1.argmax())
+    if not f1[best]:
+        return 0.5
     return float(p[best] + (p[best + 1] if best + 1 < len(p) else 0.0)) / 2
 
 
