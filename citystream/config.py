@@ -6,8 +6,6 @@ below are the values the original city application ships with.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 # ---------------------------------------------------------------------------
 # Fixed values (must stay equal to the original application's behaviour)
 # ---------------------------------------------------------------------------
@@ -57,18 +55,3 @@ RETENTION_DAYS = {
 }
 CONSUMER_GROUPS = ("HIGH_PRIORITY", "STANDARD_PRIORITY")
 SERVING_LATEST_N = 100
-
-
-@dataclass(frozen=True)
-class Rules:
-    """Bundle of the tunable thresholds, passed to operators as one value."""
-
-    aqi_hazardous: float = AQI_HAZARDOUS
-    aqi_unhealthy: float = AQI_UNHEALTHY
-    gridlock_wait_sec: float = GRIDLOCK_WAIT_SEC
-    gridlock_cycles: int = GRIDLOCK_CYCLES
-    bunching_distance_m: float = BUNCHING_DISTANCE_M
-    bunching_duration_sec: int = BUNCHING_DURATION_SEC
-
-
-DEFAULT_RULES = Rules()

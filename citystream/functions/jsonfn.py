@@ -26,6 +26,18 @@ def payload_json(*cols, keep_nulls: bool = True) -> Column:
 
 
 def pretty_or_raw(value: str | Column) -> Column:
-    """Canonical JSON text when the value parses, else the raw text."""
+    """JSON text spaced ``", "`` and ``": "`` when the value parses, else the raw
+    text (P13). Key order and the numbers' text stay as they came: the parse is
+    only a test, the text is put together from the value's own tokens."""
     c = (F.col(value) if isinstance(value, str) else value).cast("string")
-    return F.coalesce(F.to_json(F.try_parse_json(c)), c)
+    tokens = F.regexp_extract_all(c, F.lit(r'"(?:[^"\\]|\\.)*"|[,:]|[^",:\s]+'), F.lit(0))
+    spaced = F.transform(tokens, lambda t: F.when(t.isin(",", ":"), F.concat(t, F.lit(" "))).otherwise(t))
+    return F.when(F.try_parse_json(c).isNotNull(), F.array_join(spaced, "")).otherwise(c)
+
+
+def with_json_field(fields: Column, name: str, text: Column) -> Column:
+    """The JSON object ``fields`` with one more field, whose value is the JSON in
+    ``text``; text that doesn't parse becomes a JSON string, null stays null."""
+    quoted = F.to_json(F.array(text))
+    inner = F.when(F.try_parse_json(text).isNotNull(), text).otherwise(F.substring(quoted, F.lit(2), F.length(quoted) - 2))
+    return F.concat(F.substring(fields, F.lit(1), F.length(fields) - 1), F.lit(f',"{name}":'), F.coalesce(inner, F.lit("null")), F.lit("}"))

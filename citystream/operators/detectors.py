@@ -15,11 +15,12 @@ from citystream.config import (AQI_EMERGENCY, AQI_HAZARDOUS, GRIDLOCK_CYCLES, GR
                                TRAFFIC_GRIDLOCK)
 from citystream.operators import sequence
 
-INCIDENT_COLUMNS = [
-    "incident_type", "sensor_id", "junction_id", "route_id", "zone", "aqi", "avg_wait_sec",
-    "consecutive_cycles", "bus_a", "bus_b", "distance_m", "minutes_close",
-    "detected_from_timestamp", "event_time", "event_id",
-]
+# Every detector's alerts carry all columns with these types, so that feeds
+# written apart are read back as one table.
+INCIDENT_SCHEMA = ("incident_type string, sensor_id string, junction_id string, route_id string, zone string, aqi double, "
+                   "avg_wait_sec double, consecutive_cycles int, bus_a string, bus_b string, distance_m double, "
+                   "minutes_close double, detected_from_timestamp string, event_time timestamp, event_id bigint")
+INCIDENT_TYPES = dict(c.split() for c in INCIDENT_SCHEMA.split(", "))
 
 
 def aqi_emergencies(air: DataFrame, threshold: float = AQI_HAZARDOUS) -> DataFrame:
@@ -32,11 +33,10 @@ def aqi_emergencies(air: DataFrame, threshold: float = AQI_HAZARDOUS) -> DataFra
 
 def incident_feed(*alerts: DataFrame) -> DataFrame:
     """Bag union of heterogeneous alert schemas into one feed."""
-    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), alerts)
-    for c in INCIDENT_COLUMNS:
-        if c not in u.columns:
-            u = u.withColumn(c, F.lit(None))
-    return u.select(*INCIDENT_COLUMNS)
+    def typed(df: DataFrame) -> DataFrame:
+        return df.select(*((F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in INCIDENT_TYPES.items()))
+
+    return reduce(DataFrame.unionByName, map(typed, alerts))
 
 
 def gridlock_alerts(signals: DataFrame, wait_sec: float = GRIDLOCK_WAIT_SEC,

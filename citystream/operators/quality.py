@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from citystream.config import (AQI_MAX, AQI_MIN, AQI_OUT_OF_RANGE, IMPOSSIBLE_GPS, MALFORMED_JSON,
                                NULL_AQI, NULL_GPS)
-from citystream.functions.jsonfn import CORRUPT, payload_json
+from citystream.functions.jsonfn import CORRUPT, payload_json, with_json_field
 from citystream.functions.textfmt import fixed_width_line
 
 # Declarative rule table: per topic, (predicate, reason) in priority order;
@@ -80,6 +80,14 @@ def dlq_records(streams: dict[str, DataFrame], record_cols: dict[str, list[str]]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def dlq_topic_records(dlq: DataFrame) -> DataFrame:
+    """Quarantined records as topic records; ``original`` is the source
+    record itself, a nested object (a string if it never parsed)."""
+    rest = [F.col(c) for c in dlq.columns if c != "original"]
+    value = with_json_field(payload_json(*rest), "original", F.col("original"))
+    return dlq.select(F.lit(None).cast("string").alias("key"), value.alias("value"))
+
+
 def good_bad_totals(streams: dict[str, DataFrame]) -> DataFrame:
     """A5: good / bad record totals over the validated topics (one row)."""
     parts = [validate(df, t).select(F.col("error_reason").isNull().alias("ok"))
@@ -90,7 +98,7 @@ def good_bad_totals(streams: dict[str, DataFrame]) -> DataFrame:
 
 def within_last(dlq: DataFrame, seconds: int, as_of: Column | None = None) -> DataFrame:
     """Bounded read — records quarantined in the last ``seconds`` before ``as_of``."""
-    as_of = F.current_timestamp() if as_of is None else as_of
+    as_of = F.current_timestamp() if as_of is None else as_of  # may be a scalar subquery
     return dlq.where(F.col("quarantined_at") >= as_of - F.make_dt_interval(secs=F.lit(seconds)))
 
 
@@ -139,33 +147,25 @@ def report_lines(counts: DataFrame, window_seconds: int) -> DataFrame:
     ``line_no`` and can be written with ``write.text`` after ``coalesce(1)``.
     """
     rule, thin = "=" * 50, "-" * 50
-    total_n = F.max(F.when(F.col("dimension") == "total", F.col("n"))).over(Window.partitionBy())
-    c = counts.withColumn("total_n", F.coalesce(total_n, F.lit(0)))
-    rank = F.row_number().over(Window.partitionBy("dimension").orderBy(F.desc("n"), F.asc("label")))
-    body = c.where(F.col("dimension") != "total").withColumn("r", rank).select(
-        F.when(F.col("dimension") == "reason", F.lit(100)).otherwise(F.lit(300)).alias("sect"),
-        "r",
-        F.when(F.col("dimension") == "reason",
-               fixed_width_line(F.col("label"), F.col("n"), 18, F.col("pct")))
-        .otherwise(fixed_width_line(F.col("label"), F.col("n"), 28)).alias("line"))
-    head = c.where(F.col("dimension") == "total").select(F.col("n").alias("total"))
-    # An empty DLQ has no 'total' group row; a global aggregate always yields one.
-    head = head.agg(F.coalesce(F.max("total"), F.lit(0)).alias("total"))
-
-    def row(sect: int, r: int, line):
-        line = line if isinstance(line, Column) else F.lit(line)
-        return F.struct(F.lit(sect).alias("sect"), F.lit(r).alias("r"), line.alias("line"))
-
-    fixed = head.select(F.explode(F.array(
-        row(0, 1, rule), row(0, 2, "City stream DLQ Report"),
-        row(0, 3, f"Window    : {window_seconds} seconds"),
-        row(0, 4, F.concat(F.lit("Total bad records: "), F.col("total").cast("string"))),
-        row(0, 5, thin), row(0, 6, "Error type distribution:"),
-        row(200, 1, thin), row(200, 2, "By source topic:"), row(400, 1, rule),
-    )).alias("x")).select("x.sect", "x.r", "x.line")
-    lines = fixed.unionByName(body)
-    return lines.select(
-        F.row_number().over(Window.orderBy("sect", "r")).cast("long").alias("line_no"), "line")
+    # The counts are one row per reason and topic: gathered once, a section each.
+    one = counts.agg(F.collect_list(F.struct((-F.col("n")).alias("o"), "label", "n", "pct", "dimension")).alias("all"),
+                     F.coalesce(F.max(F.when(F.col("dimension") == "total", F.col("n"))), F.lit(0)).alias("total"))
+
+    def section(dimension: str, line) -> Column:
+        own = F.array_sort(F.filter("all", lambda x: x["dimension"] == dimension))
+        return F.transform(own, line)
+
+    def text(*lines) -> Column:
+        return F.array(*(x if isinstance(x, Column) else F.lit(x) for x in lines))
+
+    lines = F.concat(
+        text(rule, "City stream DLQ Report", f"Window    : {window_seconds} seconds",
+             F.concat(F.lit("Total bad records: "), F.col("total").cast("string")), thin, "Error type distribution:"),
+        section("reason", lambda x: fixed_width_line(x["label"], x["n"], 18, x["pct"])),
+        text(thin, "By source topic:"),
+        section("topic", lambda x: fixed_width_line(x["label"], x["n"], 28)),
+        text(rule))
+    return one.select(F.posexplode(lines).alias("n", "line")).select((F.col("n") + 1).cast("long").alias("line_no"), "line")
 
 
 def aqi_data_quality(air: DataFrame, by: tuple[str, ...] = ("zone",)) -> DataFrame:

@@ -52,16 +52,20 @@ _DLQ = """dlq AS (
   SELECT CASE WHEN aqi IS NULL THEN 'NULL_AQI'
               WHEN NOT (aqi BETWEEN 0 AND 500) THEN 'AQI_OUT_OF_RANGE' END AS error_reason,
          'air_quality' AS source_topic, "partition" AS source_partition, "offset" AS source_offset,
-         event_time AS quarantined_at
+         event_time AS quarantined_at,
+         CAST(json_object('sensor_id', sensor_id, 'zone', zone, 'pm25', pm25, 'pm10', pm10, 'no2', no2, 'aqi', aqi,
+                          'timestamp', "timestamp") AS VARCHAR) AS original
   FROM air_quality
   UNION ALL
   SELECT CASE WHEN lat IS NULL OR lon IS NULL THEN 'NULL_GPS'
               WHEN NOT (lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180) THEN 'IMPOSSIBLE_GPS' END,
-         'bus_gps', "partition", "offset", event_time
+         'bus_gps', "partition", "offset", event_time,
+         CAST(json_object('bus_id', bus_id, 'route_id', route_id, 'lat', lat, 'lon', lon, 'speed_kmh', speed_kmh,
+                          'occupancy_pct', occupancy_pct, 'timestamp', "timestamp") AS VARCHAR)
   FROM bus_gps)"""
 
 ORACLE["dlq_records"] = with_streams("""
-SELECT error_reason, source_topic, source_partition, source_offset, quarantined_at
+SELECT error_reason, source_topic, source_partition, source_offset, quarantined_at, original
 FROM dlq WHERE error_reason IS NOT NULL
 """, "air_quality", "bus_gps", extra=(_DLQ,))
 
@@ -82,7 +86,8 @@ FROM dlq
 """, "air_quality", "bus_gps", extra=(_DLQ,))
 
 ORACLE["dlq_report_text"] = with_streams("""
-, bad AS (SELECT * FROM dlq WHERE error_reason IS NOT NULL),
+, every AS (SELECT * FROM dlq WHERE error_reason IS NOT NULL),
+bad AS (SELECT * FROM every WHERE quarantined_at >= (SELECT max(quarantined_at) FROM every) - INTERVAL 300 SECOND),
 tot AS (SELECT count(*) AS total FROM bad),
 reasons AS (SELECT error_reason AS label, count(*) AS n FROM bad GROUP BY 1),
 topics AS (SELECT source_topic AS label, count(*) AS n FROM bad GROUP BY 1),
@@ -211,12 +216,16 @@ FROM ({ORACLE['ward_energy_15m']}) ORDER BY window_start DESC, ward_id LIMIT 100
 ORACLE["topic_view"] = with_streams("""
 , env AS (SELECT topic, "partition", "offset",
                  CASE WHEN event_id % 41 = 0 THEN 'garbage text'
-                      ELSE '{"junction_id": "' || junction_id || '", "vehicle_count": '
-                           || CAST(vehicle_count AS VARCHAR) || '}' END AS v
+                      ELSE '{"zone": ' || coalesce('"' || zone || '"', 'null')
+                           || ', "junction_id": ' || coalesce('"' || junction_id || '"', 'null')
+                           || ', "vehicle_count": ' || coalesce(CAST(vehicle_count AS VARCHAR), 'null')
+                           || ', "avg_wait_sec": ' || coalesce(CAST(avg_wait_sec AS VARCHAR), 'null')
+                           || ', "signal_phase": ' || coalesce('"' || signal_phase || '"', 'null')
+                           || ', "timestamp": ' || coalesce('"' || "timestamp" || '"', 'null') || '}' END AS v
           FROM traffic_signals)
 SELECT topic, "partition", "offset",
        '[p' || CAST("partition" AS VARCHAR) || '@' || CAST("offset" AS VARCHAR) || '] '
-       || CASE WHEN json_valid(v) THEN CAST(json(v) AS VARCHAR) ELSE v END AS line
+       || v AS line
 FROM env
 """, "traffic_signals")
 

@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citystream.config import CONSUMER_GROUPS, DLQ_REPORT_WINDOW_SEC, RETENTION_DAYS
+from citystream.functions.jsonfn import payload_json
 from citystream.functions.timefn import to_ntz
-from citystream.config import CONSUMER_GROUPS, RETENTION_DAYS
 from citystream.operators import aggregates, bunching, detectors, enrich, history, quality, serving
 from citystream.sources import testdata as td
 
@@ -66,7 +67,7 @@ def dlq_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarantined records of air_quality and bus_gps."""
     return _dlq(spark, sf_dir).select("error_reason", "source_topic", "source_partition",
                                       "source_offset",
-                                      to_ntz("quarantined_at").alias("quarantined_at"))
+                                      to_ntz("quarantined_at").alias("quarantined_at"), "original")
 
 
 def dlq_error_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,8 +87,12 @@ def dlq_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dlq_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fixed-width DLQ report as numbered lines."""
-    return quality.report_lines(quality.report_counts(_dlq(spark, sf_dir)), window_seconds=300)
+    """The fixed-width report, as numbered lines, of what was
+    quarantined in the last 300 seconds of the data."""
+    dlq = _dlq(spark, sf_dir)
+    newest = dlq.agg(F.max("quarantined_at")).scalar()
+    recent = quality.within_last(dlq, DLQ_REPORT_WINDOW_SEC, as_of=newest)
+    return quality.report_lines(quality.report_counts(recent), window_seconds=DLQ_REPORT_WINDOW_SEC)
 
 
 def aqi_data_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,11 +172,11 @@ def latest_ward_energy_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _signals_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Raw topic values: JSON text, with some unparsable payloads mixed in.
     sig = td.traffic_signals(spark, sf_dir)
-    value = F.when(F.col("event_id") % 41 == 0, F.lit("garbage text")).otherwise(F.concat(
-        F.lit('{"junction_id": "'), F.col("junction_id"), F.lit('", "vehicle_count": '),
-        F.col("vehicle_count").cast("string"), F.lit("}")))
+    # Raw topic values: whole records as compact JSON, keys in the producer's
+    # order, with some unparsable payloads mixed in.
+    value = F.when(F.col("event_id") % 41 == 0, F.lit("garbage text")).otherwise(
+        payload_json("zone", "junction_id", "vehicle_count", "avg_wait_sec", "signal_phase", "timestamp"))
     return sig.select("topic", "partition", "offset", value.alias("value"))
 
 
@@ -200,17 +205,13 @@ def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ends = serving.end_offsets(td.traffic_signals(spark, sf_dir))
     high, std = CONSUMER_GROUPS
-    committed = ends.select(F.lit(high).alias("group_id"), "topic", "partition",
-                            (F.col("end_offset") - F.col("partition")).alias("committed_offset")) \
-        .unionByName(ends.where(F.col("partition") == 0).select(
-            F.lit(std).alias("group_id"), "topic", "partition",
-            F.expr("end_offset div 2").alias("committed_offset"))) \
-        .unionByName(ends.where(F.col("partition") == 1).select(
-            F.lit(std).alias("group_id"), "topic", "partition",
-            (F.col("end_offset") + 5).alias("committed_offset"))) \
-        .unionByName(ends.where(F.col("partition") == 2).select(
-            F.lit(std).alias("group_id"), "topic", (F.col("partition") + 1).alias("partition"),
-            F.lit(10).cast("long").alias("committed_offset")))
+    at = F.col("partition")
+    commits = F.array(
+        F.struct(F.lit(high).alias("group_id"), at.alias("partition"), (F.col("end_offset") - at).alias("committed_offset")),
+        F.struct(F.lit(std).alias("group_id"), F.when(at == 2, at + 1).otherwise(at).alias("partition"),
+                 F.when(at == 0, F.expr("end_offset div 2")).when(at == 1, F.col("end_offset") + 5)
+                 .when(at == 2, F.lit(10)).cast("long").alias("committed_offset")))
+    committed = ends.select("topic", F.inline(commits)).where("committed_offset IS NOT NULL")
     groups = spark.createDataFrame([(g,) for g in (*CONSUMER_GROUPS, "IDLE")], "group_id string")
     out = serving.consumer_lag(committed, ends, groups)
     return out.withColumn("lag", F.col("lag").cast("double"))  # nullable: typed DOUBLE

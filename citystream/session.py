@@ -18,6 +18,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.scheduler.mode": "FAIR",  # the consumer groups' pools share the cores (T8)
 }
 
 

@@ -5,9 +5,9 @@ caller picks the trigger (continuous micro-batches by default, T10;
 
 from __future__ import annotations
 
-import os
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -29,44 +29,28 @@ def ward_energy_batch_writer(history_path: str, topic_fmt: str, topic_target: st
                              topic_options: dict[str, str] | None = None):
     """K5: one micro-batch to Parquet history and to the summary topic.
 
-    The batch is materialised once (persist + count) and empty batches are
-    skipped. A marker table records finished batch ids: only the first batch
-    after a (re)start can be a replay of a batch that already reached the
-    sinks, so the marker table is consulted once per query start.
+    Every batch is executed, a replayed one too, so the state store commits
+    with it. Both file sinks write the batch to its own place (query id, batch
+    id), replacing what a half-finished attempt has left there; a Kafka topic
+    is at-least-once. Another checkpoint has another query id, so two queries,
+    or a restart from nothing, never meet in one place. Empty batches write
+    nothing.
     """
-    state = {"checked": False}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        markers = os.path.join(history_path, "_batches")
-        if not state["checked"]:
-            state["checked"] = True
-            if _batch_done(spark, markers, batch_id):
-                return
         out = aggregates.with_partition_date(batch).persist()
         try:
-            n = out.count()
-            if n == 0:
+            if out.isEmpty():
                 return
-            history.write_history(out.withColumn("batch_id", F.lit(batch_id).cast("long")), history_path)
-            sinks.write_topic_batch(sinks.as_topic_records(out, key="ward_id"), topic_fmt, topic_target,
-                                    topic_options)
-            spark.createDataFrame([(batch_id, n)], "batch_id long, rows long") \
-                 .write.mode("append").parquet(markers)
+            history.write_history(out, sinks.batch_place(history_path, batch, batch_id), mode="overwrite")
+            sinks.write_topic_batch(sinks.as_topic_records(out, key="ward_id"), topic_fmt,
+                                    sinks.batch_place(topic_target, batch, batch_id), topic_options)
         finally:
             out.unpersist()
 
     return write_batch
 
 
-def _batch_done(spark: SparkSession, markers: str, batch_id: int) -> bool:
-    try:
-        m = spark.read.parquet(markers)
-    except Exception:  # no marker table yet
-        return False
-    return m.where(F.col("batch_id") == batch_id).limit(1).count() > 0
-
-
 def ward_energy_query(meters: DataFrame, history_path: str, topic_fmt: str, topic_target: str,
                       window: str = WARD_WINDOW, delay: str = WATERMARK_DELAY,
                       name: str = "ward_energy") -> DataStreamWriter:
@@ -114,8 +98,8 @@ def dlq_batch_writer(record_cols: dict[str, list[str]], dlq_fmt: str, dlq_target
         try:
             parts = {t: b.where(F.col("topic") == t) for t in record_cols}
             bad = quality.dlq_records(parts, record_cols)
-            sinks.write_topic_batch(sinks.as_topic_records(bad, keep_nulls=True), dlq_fmt, dlq_target,
-                                    dlq_options)
+            sinks.write_topic_batch(quality.dlq_topic_records(bad), dlq_fmt,
+                                    sinks.batch_place(dlq_target, batch, batch_id), dlq_options)
         finally:
             b.unpersist()
 
@@ -136,8 +120,12 @@ def dlq_query(records: DataFrame, record_cols: dict[str, list[str]], dlq_fmt: st
 def dedup_stream(records: DataFrame, keys: list[str], delay: str = WATERMARK_DELAY) -> DataFrame:
     """T9/X4 streaming: drop redelivered copies (at-least-once sources)
     whose first copy arrived within the watermark delay; state for a key is
-    evicted once the watermark passes, so it stays bounded."""
-    return records.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(keys)
+    evicted once the watermark passes, so it stays bounded. Records with a
+    null key part can't be told apart and all pass."""
+    unkeyed = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    own = F.when(unkeyed, F.concat_ws("/", "topic", "partition", "offset"))
+    return (records.withColumn("_own", own).withWatermark("event_time", delay)
+            .dropDuplicatesWithinWatermark([*keys, "_own"]).drop("_own"))
 
 
 def consumer_group_queries(signals_for_group, sink_root: str, trigger: dict | None = None,
@@ -156,15 +144,16 @@ def consumer_group_queries(signals_for_group, sink_root: str, trigger: dict | No
         stream = signals_for_group(group)
         sc = stream.sparkSession.sparkContext
         if group == "HIGH_PRIORITY":
-            out, mode, write_mode = serving.signal_adaptations(stream), "append", "append"
+            out, mode = serving.signal_adaptations(stream), "append"
         else:
-            out, mode, write_mode = serving.partition_throughput(stream), "complete", "overwrite"
-        target = os.path.join(sink_root, group)
+            out, mode = serving.partition_throughput(stream), "complete"
+        target = f"{sink_root}/{group}"
 
-        def sink(batch, batch_id, target=target, write_mode=write_mode):
-            batch.write.mode(write_mode).parquet(target)
+        def sink(batch, batch_id, target=target, whole=mode == "complete"):
+            place = target if whole else sinks.batch_place(target, batch, batch_id)
+            batch.write.mode("overwrite").parquet(place)
 
-        w = _writer(out, f"signals_{group}_{os.path.basename(sink_root)}", mode).foreachBatch(sink)
+        w = _writer(out, f"signals_{group}_{sink_root.rstrip('/').rpartition('/')[2]}", mode).foreachBatch(sink)
         if trigger:
             w = w.trigger(**trigger)
         sc.setLocalProperty("spark.scheduler.pool", pool)
@@ -175,21 +164,42 @@ def consumer_group_queries(signals_for_group, sink_root: str, trigger: dict | No
     return started
 
 
+def topic_query(rows: DataFrame, key: str | None, fmt: str, target: str, name: str, mode: str = "append",
+                options: dict[str, str] | None = None) -> DataStreamWriter:
+    """K1/K3/K6: a derived stream (advisories by zone, enriched positions by
+    route, incidents) to its topic, as keyed JSON records, batch by batch."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        sinks.write_topic_batch(sinks.as_topic_records(batch, key=key, keep_nulls=True), fmt,
+                                sinks.batch_place(target, batch, batch_id), options)
+
+    return _writer(rows, name, mode).foreachBatch(sink)
+
+
 def incident_queries(air: DataFrame, signals: DataFrame, gps: DataFrame, sink_root: str,
                      name: str = "incidents", bunching_sec: int | None = None,
-                     trigger: dict | None = None) -> list:
-    """U1/K6 streaming: the three detectors feed one incidents sink. Spark
+                     trigger: dict | None = None, topic_fmt: str | None = None, topic_target: str | None = None,
+                     topic_options: dict[str, str] | None = None) -> list:
+    """U1/K6 streaming: the three detectors feed one incidents table. Spark
     allows one keyed-state operator per query, so each detector is its own
-    query (own checkpoint) writing the unified incident schema: to one Kafka
-    topic, or here to ``<sink_root>/<detector>/`` folders read as one table."""
+    query (own checkpoint) writing the unified incident schema below
+    ``sink_root`` (read that folder as one table) and, if ``topic_fmt`` is
+    given, to one topic."""
     started = []
     for part, df in (("aqi", emergency_stream(air)), ("gridlock", gridlock_incidents(signals)),
                      ("bunching", bunching_incidents(gps, bunching_sec))):
         feed = detectors.incident_feed(df)
-        target = os.path.join(sink_root, part)
+        target = f"{sink_root}/detector={part}"
 
         def sink(batch, batch_id, target=target):
-            batch.write.mode("append").parquet(target)
+            batch = batch.persist()
+            try:
+                batch.write.mode("overwrite").parquet(sinks.batch_place(target, batch, batch_id))
+                if topic_fmt:
+                    sinks.write_topic_batch(sinks.as_topic_records(batch, keep_nulls=True), topic_fmt,
+                                            sinks.batch_place(topic_target, batch, batch_id), topic_options)
+            finally:
+                batch.unpersist()
 
         w = _writer(feed, f"{name}_{part}", "append").foreachBatch(sink)
         started.append((w.trigger(**trigger) if trigger else w).start())

@@ -35,13 +35,21 @@ def keyed_layout(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return df.repartition(key).sortWithinPartitions(key, *order)
 
 
+def batch_place(target: str, batch: DataFrame, batch_id: int) -> str:
+    """The folder of one micro-batch below ``target``. The query id lasts as
+    long as the checkpoint, so a replay finds its own folder and no other."""
+    run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{target}/run={run}/batch={batch_id}"
+
+
 def write_topic_batch(records: DataFrame, fmt: str, target: str, options: dict[str, str] | None = None) -> None:
     """K2: write one micro-batch (or batch) of (key, value) records to a topic
-    (``fmt='kafka'``) or to a JSON folder standing in for it."""
+    (``fmt='kafka'``, ``target`` unused) or to a JSON folder standing in for
+    it, which is replaced."""
     if fmt == "kafka":
         records.write.format("kafka").options(**(options or {})).save()
     else:
-        records.write.mode("append").json(target)
+        records.write.mode("overwrite").json(target)
 
 
 def write_report(lines: DataFrame, path: str) -> None:

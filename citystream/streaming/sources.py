@@ -29,14 +29,15 @@ def kafka_options(bootstrap: str | list[str], topics: str | list[str], starting:
                   max_offsets_per_trigger: int | None = None, **extra: str) -> dict[str, str]:
     """Reader options for one or several topics (S1/S3); ``starting`` is
     'earliest' or 'latest' (S4). Consumer groups map to one checkpoint per
-    query, so two queries on one topic never delay each other (T8)."""
+    query, so two queries on one topic never delay each other (T8). Lost
+    offsets fail the query, Kafka's default; a caller may pass
+    ``failOnDataLoss="false"`` to accept the loss."""
     if starting not in ("earliest", "latest"):
         raise ValueError("starting must be 'earliest' or 'latest'")
     opts = {
         "kafka.bootstrap.servers": bootstrap if isinstance(bootstrap, str) else ",".join(bootstrap),
         "subscribe": topics if isinstance(topics, str) else ",".join(topics),
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
     }
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)

@@ -10,7 +10,6 @@ watermark, so detectors never drop late rows.
 from __future__ import annotations
 
 import json
-import math
 
 import numpy as np
 import pandas as pd
@@ -34,10 +33,6 @@ def _sorted(pdfs) -> pd.DataFrame:
     return pdf.sort_values(["event_time", "event_id"], na_position="first", kind="stable")
 
 
-def _none(v):
-    return None if v is None or (isinstance(v, float) and math.isnan(v)) else v
-
-
 def gridlock_stream(signals: DataFrame, wait_sec: float = GRIDLOCK_WAIT_SEC,
                     cycles: int = GRIDLOCK_CYCLES) -> DataFrame:
     """T4: per junction a ValueState streak counter (reset on a calm cycle
@@ -70,50 +65,87 @@ def gridlock_stream(signals: DataFrame, wait_sec: float = GRIDLOCK_WAIT_SEC,
         step, GRIDLOCK_OUT, "streak int", "append", GroupStateTimeout.NoTimeout)
 
 
-def _haversine(lat1, lon1, lat2, lon2, r=EARTH_RADIUS_M):
-    dphi, dlmb = math.radians(lat2 - lat1), math.radians(lon2 - lon1)
-    s1, s2 = math.sin(dphi / 2), math.sin(dlmb / 2)
-    a = s1 * s1 + math.cos(math.radians(lat1)) * math.cos(math.radians(lat2)) * (s2 * s2)
-    return 2.0 * r * math.asin(math.sqrt(min(1.0, a)))
+def _distances(lat1, lon1, lat2, lon2) -> np.ndarray:
+    """Great-circle distances in metres of arrays of points."""
+    half = [np.sin(np.radians(b - a) / 2) ** 2 for a, b in ((lat1, lat2), (lon1, lon2))]
+    chord = half[0] + np.cos(np.radians(lat1)) * np.cos(np.radians(lat2)) * half[1]
+    return 2.0 * EARTH_RADIUS_M * np.arcsin(np.sqrt(np.minimum(1.0, chord)))
+
+
+def _pair_alerts(ts: np.ndarray, close: np.ndarray, timer: int | None, d: int) -> tuple[list, int | None]:
+    """(observation, elapsed) of one pair's alerts, and the timer afterwards.
+    Each stretch of close observations is searched from alert to alert."""
+    out, at, ends = [], 0, np.append(np.flatnonzero(~close), len(ts))
+    for end in ends.tolist():
+        if at < end:
+            timer = int(ts[at]) if timer is None else timer
+            while (at := at + int(np.searchsorted(ts[at:end], timer + d, "right"))) < end:
+                out.append((at, int(ts[at]) - timer))
+                timer = int(ts[at])
+        if end < len(ts):
+            timer = None
+        at = end + 1
+    return out, timer
+
+
+def _route_step(rows: pd.DataFrame, state: dict, limit: float, d: int, ttl_ms: int | None) -> tuple[list, dict]:
+    """Alerts (row, bus_a, bus_b, dist, elapsed) of a route's sorted rows, and
+    the new state: ``pos`` bus -> (lat, lon, last ts), ``pairs`` [a, b, timer].
+    One pass per pair of buses of which one reports, over arrays."""
+    ts = np.where(rows["event_time"].isna(), 0, rows["event_time"].astype("int64") // 1000)
+    ts = (ts / 1e6 * 1000.0).astype(np.int64)
+    lat, lon = rows["lat"].to_numpy(float), rows["lon"].to_numpy(float)
+    events = {b: np.asarray(i) for b, i in rows.groupby("bus_id", sort=False).indices.items()}
+    pos = {b: tuple(v) for b, v in state["pos"].items()}
+    timers = {(a, b): t for a, b, t in state["pairs"]}
+    hits, none = [], np.empty(0, np.int64)
+
+    def where(bus: str, at: np.ndarray):
+        """The bus's position at the rows ``at``; nan before its first report."""
+        own = events.get(bus, none)
+        k = np.searchsorted(own, at, "right") - 1
+        first = pos.get(bus, (np.nan, np.nan))
+        return tuple(np.where(k >= 0, v[own[np.maximum(k, 0)]] if len(own) else np.nan, first[c])
+                     for c, v in enumerate((lat, lon)))
+
+    buses = sorted(events.keys() | pos.keys())
+    for i, a in enumerate(buses):
+        for b in buses[i + 1:]:
+            at = np.union1d(events.get(a, none), events.get(b, none))
+            if not len(at):
+                continue
+            dist = _distances(*where(a, at), *where(b, at))
+            at, dist = at[~np.isnan(dist)], dist[~np.isnan(dist)]
+            found, timer = _pair_alerts(ts[at], dist <= limit, timers.pop((a, b), None), d)
+            hits += [(int(at[k]), a, b, float(dist[k]), elapsed) for k, elapsed in found]
+            if timer is not None:
+                timers[a, b] = timer
+    pos |= {b: (float(lat[i[-1]]), float(lon[i[-1]]), int(ts[i[-1]])) for b, i in events.items()}
+    if ttl_ms is not None and len(ts):
+        pos = {b: v for b, v in pos.items() if v[2] >= int(ts.max()) - ttl_ms}
+        timers = {p: t for p, t in timers.items() if p[0] in pos and p[1] in pos}
+    return sorted(hits), {"pos": pos, "pairs": [[a, b, t] for (a, b), t in timers.items()]}
 
 
 def bunching_stream(gps: DataFrame, distance_m: float = BUNCHING_DISTANCE_M,
-                    duration_sec: int = BUNCHING_DURATION_SEC) -> DataFrame:
+                    duration_sec: int = BUNCHING_DURATION_SEC, ttl_sec: int | None = None) -> DataFrame:
     """T5: per route the latest position of every bus and the start time of
-    every close pair. The route's state is loaded once per micro-batch,
-    folded in memory and written back once (one JSON value), instead of one
-    state-store round trip per map access. State size is bounded by the
-    route's fleet (buses + close pairs), not by the event volume."""
-    duration_ms = int(duration_sec) * 1000
+    every close pair. State size is bounded by the route's fleet (buses + close
+    pairs), not by the event volume. With ``ttl_sec`` (D13) a bus silent for
+    longer than that, against the route's newest event, is forgotten with its
+    timers; by default state never expires, as in the rule."""
+    d, ttl_ms = int(duration_sec) * 1000, None if ttl_sec is None else int(ttl_sec) * 1000
 
     def step(key, pdfs, state):
         st = json.loads(state.get[0]) if state.exists else {"pos": {}, "pairs": []}
-        pos = {b: tuple(v) for b, v in st["pos"].items()}
-        pairs = {(a, b): t for a, b, t in st["pairs"]}
-        hits = []
-        for r in _sorted(pdfs).itertuples(index=False):
-            bus, lat, lon = _none(r.bus_id), _none(r.lat), _none(r.lon)
-            if bus is None or lat is None or lon is None:
-                continue
-            ts = 0 if pd.isna(r.event_time) else int(r.event_time.value // 1000 / 1e6 * 1000.0)
-            pos[bus] = (lat, lon)
-            for other, (olat, olon) in list(pos.items()):
-                if other == bus:
-                    continue
-                d = _haversine(lat, lon, olat, olon)
-                pair = (min(bus, other), max(bus, other))
-                if d <= distance_m:
-                    first = pairs.get(pair)
-                    if first is None:
-                        pairs[pair] = ts
-                    elif ts - first > duration_ms:
-                        hits.append((_none(r.route_id), pair[0], pair[1], d, ts - first, _none(r.timestamp),
-                                     r.event_time, int(r.event_id)))
-                        pairs[pair] = ts
-                else:
-                    pairs.pop(pair, None)
-        state.update((json.dumps({"pos": pos, "pairs": [[a, b, t] for (a, b), t in pairs.items()]}),))
-        yield pd.DataFrame(hits, columns=[c.split()[0] for c in BUNCHING_RAW.split(", ")])
+        rows = _sorted(pdfs).dropna(subset=["bus_id", "lat", "lon"]).reset_index(drop=True)
+        hits, st = _route_step(rows, st, distance_m, d, ttl_ms)
+        state.update((json.dumps(st),))
+        at = rows.iloc[[h[0] for h in hits]].reset_index(drop=True)
+        found = pd.DataFrame([h[1:] for h in hits], columns=["bus_a", "bus_b", "dist", "elapsed_ms"])
+        yield pd.DataFrame({
+            "route_id": at["route_id"], **{c: found[c] for c in found}, "detected_from_timestamp": at["timestamp"],
+            "event_time": at["event_time"], "event_id": at["event_id"].astype("int64")})
 
     prepare(gps.sparkSession)
     rows = gps.select(F.coalesce("route_id", F.lit("UNKNOWN")).alias("_rk"), "route_id", "bus_id", "lat", "lon",
