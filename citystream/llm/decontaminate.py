@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citystream.llm.common import BROADCAST_ROWS, ascii_lower, cut
+from citystream.llm.common import BROADCAST_ROWS, ascii_lower, bounded, cut
 from citystream.session import prepare
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -132,7 +132,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
               .join(F.broadcast(windows) if small else windows, "win").where("id IS NOT NULL")
               .select("key", F.col("id").cast("string").alias("item")).distinct()
               .groupBy("key").agg(F.array_sort(F.collect_list("item")).alias("items")))
-    out = rows.where("len IS NULL").join(hit.join(listed, "key", "left"), "key", "left")
+    # One narrow row per hit text, broadcast if counted few: then no document is
+    # shuffled. (The list of items is as long as the benchmark at most.)
+    resolved = cut(hit.join(listed, "key", "left"))
+    out = rows.where("len IS NULL").join(bounded(resolved), "key", "left")
     return out.select(
         F.col("id").alias(id_col), F.col("n").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
