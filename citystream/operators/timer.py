@@ -1,115 +1,93 @@
-"""Chunk-split greedy restart timer (the sequential core of W5).
-
-Rule, per pair, over its close observations in order: an observation whose
-predecessor observation was not close starts a run (timer := its time, no
-alert); otherwise, when ``t - timer > D`` it alerts and restarts the timer
-at ``t``.
-
-Split by time chunks of width C >= D, the only thing a chunk needs from the
-past is the timer value F at its start (and whether its first row continues
-a run). With F < chunk start, the first alert of the continuing run is the
-first row with t > F + D, which must be one of the rows up to the first one
-after (chunk start + D): a short candidate list. Per chunk, pass A computes
-for every candidate the timer value at the chunk's end; pass B folds one
-summary row per chunk in order to pick the actual entry of each chunk; pass
-C replays each chunk from its entry and emits the alerts. Passes A and C are
-parallel over (pair, chunk) groups bounded by C; pass B is sequential over
-chunk summaries only (about C/D times fewer rows than observations).
-
-The kernels below work on one chunk's rows in order, as plain lists.
+"""The restart timer of one pair, split by time chunks (W5), over arrays.
+
+Rule: close observations form runs; a run's first observation starts the timer,
+an observation more than ``d`` after the timer alerts and restarts it.
+
+A chunk holds a pair's close observations of one stretch of time, in order:
+times ``ts``, ids, and the id of each row's predecessor observation. A run goes
+on over a row if its predecessor is the close row before it.
+
+* :func:`summarize` (parallel): what a later chunk needs to know, whatever
+  timer is carried in.
+* :func:`resolve` (in order, one summary per chunk): the timer carried in.
+* :func:`replay` (parallel): the chunk's alerts, given that timer.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
+import numpy as np
 
-START, ALERT, NONE = 0, 1, 2
 
+def _runs(ids: np.ndarray, preds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first rows of the runs that start inside, end of the run of each row)."""
+    starts = np.flatnonzero(preds[1:] != ids[:-1]) + 1
+    bounds = np.append(starts, len(ids))
+    return starts, bounds[np.searchsorted(starts, np.arange(len(ids)), "right")]
 
-def local_starts(ids, preds) -> list:
-    """Rows 1.. whose predecessor observation is not the previous close row."""
-    return [False] + [preds[i] != ids[i - 1] for i in range(1, len(ids))]
 
+def _following(ts: np.ndarray, ends: np.ndarray, d: int) -> np.ndarray:
+    """The row that alerts after a (re)start at each row; the row itself if none."""
+    after = np.searchsorted(ts, ts + d, "right")
+    return np.where(after < ends, after, np.arange(len(ts)))
 
-def next_and_exit(ts, starts, d: int):
-    """nxt[i]: the row that alerts after a restart at i (same run, first with
-    t - t_i > d), -1 if none; ex[i]: timer value at the run's end (within the
-    chunk) after a restart at i."""
-    m = len(ts)
-    nxt = [-1] * m
-    bounds = [i for i in range(m) if starts[i]] + [m]
-    a = 0
-    for b in bounds:
-        j = a
-        for i in range(a, b):
-            if j <= i:
-                j = i + 1
-            ti = ts[i] + d
-            while j < b and ts[j] <= ti:
-                j += 1
-            nxt[i] = j if j < b else -1
-        a = b
-    ex = [0] * m
-    for i in range(m - 1, -1, -1):
-        ex[i] = ex[nxt[i]] if nxt[i] >= 0 else ts[i]
-    return nxt, ex
+
+def _last_alert(following: np.ndarray) -> np.ndarray:
+    """Where the alerts that follow a (re)start at each row end: pointers doubled."""
+    while not np.array_equal(further := following[following], following):
+        following = further
+    return following
 
 
 def summarize(ts, ids, preds, d: int, chunk_start: int) -> dict:
-    """Pass A: what pass B needs to know about one chunk (lists of ints)."""
-    ts, ids, preds = list(ts), list(ids), list(preds)
-    starts = local_starts(ids, preds)
-    nxt, ex = next_and_exit(ts, starts, d)
-    loc = [i for i in range(len(ts)) if starts[i]]
-    seg0_end = loc[0] if loc else len(ts)
-    last_cand = seg0_end - 1
-    for i in range(seg0_end):
-        if ts[i] > chunk_start + d:
-            last_cand = i
-            break
+    """``det_exit``: timer at the end of the last run that starts inside;
+    ``start_exit``: timer at the end of the first run if it starts with the
+    chunk; ``cand_ts``, ``cand_exit``: the same if it goes on from before, by
+    the first row later than the carried timer plus ``d``. The timer is from
+    before the chunk, so only rows up to ``chunk_start + d`` can be that row;
+    neighbours with one outcome are merged, each entry naming its last row's time."""
+    ts, ids, preds = map(np.asarray, (ts, ids, preds))
+    starts, ends = _runs(ids, preds)
+    exits = ts[_last_alert(_following(ts, ends, d))]
+    first_end = int(starts[0]) if len(starts) else len(ts)
+    n = min(first_end, int(np.searchsorted(ts, chunk_start + d, "right")) + 1)
+    last = np.append(exits[1:n] != exits[:n - 1], True)
     return {
-        "first_pred": preds[0], "last_id": ids[-1],
-        "has_local_start": bool(loc), "det_exit": ex[loc[-1]] if loc else 0,
-        "start_exit": ex[0],
-        "cand_ts": ts[:last_cand + 1], "cand_id": ids[:last_cand + 1], "cand_exit": ex[:last_cand + 1],
+        "first_pred": int(preds[0]), "last_id": int(ids[-1]), "has_local_start": bool(len(starts)),
+        "det_exit": int(exits[starts[-1]]) if len(starts) else 0, "start_exit": int(exits[0]),
+        "cand_ts": ts[:n][last], "cand_exit": exits[:n][last],
     }
 
 
-def resolve(prev_key, key, timer, last_id, row, d: int):
-    """Pass B step: entry of one chunk given the state after the previous
-    chunk of the same pair. Returns (mode, entry_id, entry_timer, new_timer)."""
-    if prev_key != key or row["first_pred"] != last_id:
-        mode, entry_id, seg0_exit = START, -1, row["start_exit"]
-    else:
-        k = bisect_right(list(row["cand_ts"]), timer + d)  # candidates are in time order
-        if k < len(row["cand_ts"]):
-            mode, entry_id, seg0_exit = ALERT, int(row["cand_id"][k]), int(row["cand_exit"][k])
-        else:
-            mode, entry_id, seg0_exit = NONE, -1, timer
-    new_timer = row["det_exit"] if row["has_local_start"] else seg0_exit
-    return mode, entry_id, timer, new_timer
-
-
-def replay(ts, ids, preds, d: int, mode: int, entry_id: int, entry_timer: int):
-    """Pass C: (row index, elapsed ms) of every alert in the chunk."""
-    ts, ids, preds = list(ts), list(ids), list(preds)
-    starts = local_starts(ids, preds)
-    nxt, _ = next_and_exit(ts, starts, d)
+def resolve(goes_on: bool, timer: int, row: dict, d: int) -> int:
+    """The timer after a chunk, from its summary and, if its first run
+    ``goes_on`` from before, the timer carried in."""
+    if row["has_local_start"]:
+        return row["det_exit"]
+    if not goes_on:
+        return row["start_exit"]
+    k = int(np.searchsorted(row["cand_ts"], timer + d, "right"))
+    return int(row["cand_exit"][k]) if k < len(row["cand_ts"]) else timer
+
+
+def replay(ts, ids, preds, d: int, goes_on: bool, timer: int) -> list[tuple[int, int]]:
+    """(row, elapsed) of every alert in the chunk."""
+    ts, ids, preds = map(np.asarray, (ts, ids, preds))
+    starts, ends = _runs(ids, preds)
+    following = _following(ts, ends, d)
     out = []
 
-    def chain(i, prev):
-        while i >= 0:
-            out.append((i, ts[i] - prev))
-            prev = ts[i]
-            i = nxt[i]
-
-    if mode == START:
-        chain(nxt[0], ts[0])
-    elif mode == ALERT:
-        j = ids.index(entry_id)
-        out.append((j, ts[j] - entry_timer))
-        chain(nxt[j], ts[j])
-    for k in range(1, len(ts)):
-        if starts[k]:
-            chain(nxt[k], ts[k])
+    def alerts_after(row: int) -> None:
+        while (after := int(following[row])) != row:
+            out.append((after, int(ts[after] - ts[row])))
+            row = after
+
+    if goes_on:
+        first = int(np.searchsorted(ts[:ends[0]], timer + d, "right"))
+        if first < ends[0]:
+            out.append((first, int(ts[first]) - timer))
+            alerts_after(first)
+    else:
+        alerts_after(0)
+    for row in starts[following[starts] != starts].tolist():
+        alerts_after(row)
     return out

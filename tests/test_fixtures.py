@@ -172,4 +172,4 @@ def test_o2_latest_and_p13_view(spark):
     env = spark.createDataFrame([("t", 0, 1, '{"a": 1}'), ("t", 0, 2, "hello")],
                                 "topic string, partition int, offset long, value string")
     lines = [r.line for r in serving.topic_view(env).orderBy("offset").collect()]
-    assert lines == ['[p0@1] {"a":1}', "[p0@2] hello"]
+    assert lines == ['[p0@1] {"a": 1}', "[p0@2] hello"]

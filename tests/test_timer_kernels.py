@@ -25,14 +25,14 @@ def chunked(ts, ids, preds, d, c):
     ts, ids, preds = map(np.asarray, (ts, ids, preds))
     chunks = ts // c
     order = sorted(set(chunks.tolist()))
-    out, key, tmr, last = [], None, 0, None
+    out, tmr, last = [], 0, None
     for ck in order:
         sel = chunks == ck
         row = timer.summarize(ts[sel], ids[sel], preds[sel], d, ck * c)
-        mode, eid, etimer, tmr = timer.resolve(key, "pair", tmr, last, row, d)
-        key, last = "pair", row["last_id"]
-        for k, el in timer.replay(ts[sel], ids[sel], preds[sel], d, mode, eid, etimer):
+        goes_on = row["first_pred"] == last
+        for k, el in timer.replay(ts[sel], ids[sel], preds[sel], d, goes_on, tmr):
             out.append((int(ids[sel][k]), el))
+        tmr, last = timer.resolve(goes_on, tmr, row, d), row["last_id"]
     return out
 
 
@@ -56,3 +56,10 @@ def test_chunked_timer_equals_fold():
         for c in (d, 2 * d, 3600, 10 ** 9):
             assert chunked(ts, ids, preds, d, c) == want, (trial, c)
     assert n_alerts > 100
+
+
+def test_candidates_of_a_dense_pair_are_few():
+    d, c = 86_400_000, 16 * 86_400_000
+    ts = np.arange(0, c, 5_000)
+    row = timer.summarize(ts, np.arange(len(ts)), np.arange(len(ts)) - 1, d, 0)
+    assert len(row["cand_ts"]) < 0.1 * len(ts)
