@@ -9,6 +9,7 @@ from __future__ import annotations
 import random
 
 import models
+import pytest
 from pyspark.sql import functions as F
 from citystream.operators import bunching, detectors
 from helpers import frame, ts
@@ -58,7 +59,10 @@ def round_ratio_py(elapsed_ms):
     return round(elapsed_ms / 60000, 1)
 
 
-def test_bunching_matches_model(spark):
+@pytest.mark.parametrize("fine,coarse", [(64, 4096), (1, 3)])
+def test_bunching_matches_model(spark, monkeypatch, fine, coarse):
+    monkeypatch.setattr(bunching, "FINE_SPAN", fine)
+    monkeypatch.setattr(bunching, "COARSE", coarse)
     total = 0
     for seed in range(3):
         rows = _gps(seed)
@@ -78,3 +82,15 @@ def test_bunching_matches_model(spark):
             assert got == want, (seed, dur, bucket, chunk)
             total += len(want)
     assert total > 10
+
+
+def test_one_wild_clock_keeps_candidates_few(spark):
+    rows = _gps(1)
+    wild = [{**rows[0], "lat": 12.0, "lon": 77.0, "t": -1.7e9}] + rows
+    width = [bunching.time_extent(frame(spark, r, "bus_id string, route_id string, lat double, lon double"))[2] for r in (rows, wild)]
+    assert width[1] <= 2 * width[0]
+    cols = ("event_id", "bus_a", "bus_b")
+    got = [sorted((r.event_id - n, r.bus_a, r.bus_b) for r in bunching.bunching_alerts(
+        frame(spark, x, "bus_id string, route_id string, lat double, lon double")).select(*cols).collect()) for n, x in enumerate((rows, wild))]
+    seq = [dict(r, event_id=i, ts_ms=int(r["t"] * 1000)) for i, r in enumerate(wild)]
+    assert got[1] == sorted((e - 1, a, b) for e, a, b, *_ in models.bunching(seq))
