@@ -35,3 +35,9 @@ def to_ntz(ts: str | Column) -> Column:
     """Session-zone (UTC) wall clock as TIMESTAMP_NTZ for zone-free outputs."""
     c = F.col(ts) if isinstance(ts, str) else ts
     return c.cast("timestamp_ntz")
+
+
+def millis_to_days(ms: Column) -> Column:
+    """whole days of a retention setting in milliseconds; null and -1
+    (unlimited) give null."""
+    return F.when(ms >= 0, F.floor(ms / F.lit(86_400_000)))

@@ -16,14 +16,35 @@ from citystream.config import CONSUMER_GROUPS, DLQ_REPORT_WINDOW_SEC, RETENTION_
 from citystream.functions.jsonfn import payload_json
 from citystream.functions.timefn import to_ntz
 from citystream.operators import aggregates, bunching, detectors, enrich, history, quality, serving
+from citystream.session import scratch_path
 from citystream.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _ward_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.with_partition_date(aggregates.ward_energy(td.smart_meters(spark, sf_dir)))
+
+
+def _ward_history(spark: SparkSession, sf_dir: str) -> str:
+    """K4: the summaries as a Parquet history in the shared folder; its path."""
+    path = scratch_path(spark, "ward_history")
+    history.write_history(_ward_summary(spark, sf_dir), path)
+    return path
+
+
+def ward_energy_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of some wards and days, read back by partition."""
+    path = _ward_history(spark, sf_dir)
+    return _ward_out(history.read_history(spark, path, wards=["W1", "W2"], date_from="2024-01-05", date_to="2024-01-20"))
+
+
 def ward_energy_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """15-minute ward energy summary with its partition date."""
-    out = aggregates.with_partition_date(aggregates.ward_energy(td.smart_meters(spark, sf_dir)))
+    return _ward_out(_ward_summary(spark, sf_dir))
+
+
+def _ward_out(out: DataFrame) -> DataFrame:
     return out.select("ward_id", to_ntz("window_start").alias("window_start"),
                       to_ntz("window_end").alias("window_end"),
                       F.round("total_kwh_consumed", 4).alias("total_kwh_consumed"),
@@ -224,19 +245,19 @@ def zone_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rollup(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
-    out = history.ward_rollup(aggregates.ward_energy(td.smart_meters(spark, sf_dir)), unit)
+    out = history.ward_rollup(history.read_history(spark, _ward_history(spark, sf_dir)), unit)
     return out.select("ward_id", to_ntz("period_start").alias("period_start"),
                       *[F.round(c, 4).cast("double").alias(c) for c in ("total_kwh_consumed", "avg_power_factor",
                                                                         "peak_voltage")], "windows")
 
 
 def ward_energy_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly ward aggregates recomputed from 15-minute summaries."""
+    """Weekly ward aggregates recomputed from the Parquet history."""
     return _rollup(spark, sf_dir, "week")
 
 
 def ward_energy_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly ward aggregates recomputed from 15-minute summaries."""
+    """Monthly ward aggregates recomputed from the Parquet history."""
     return _rollup(spark, sf_dir, "month")
 
 
@@ -275,6 +296,7 @@ def retention_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "ward_energy_15m": ward_energy_15m,
+    "ward_energy_history": ward_energy_history,
     "aqi_rolling_10m": aqi_rolling_10m,
     "health_advisories": health_advisories,
     "dlq_records": dlq_records,

@@ -103,9 +103,3 @@ def read_lookup_csv(spark: SparkSession, path: str, kind: str) -> DataFrame:
     schema = {"route_schedule": ROUTE_SCHEDULE, "zone_profile": ZONE_PROFILE}[kind]
     df = spark.read.schema(schema).option("header", True).csv(path)
     return df.withColumn("seq", F.monotonically_increasing_id())
-
-
-def register(df: DataFrame, name: str) -> DataFrame:
-    """Named relation for SQL over streams and statics."""
-    df.createOrReplaceTempView(name)
-    return df

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from citystream.functions.timefn import millis_to_days
 from citystream.operators import aggregates, bunching, detectors, enrich, quality, serving
 from helpers import frame, ts
 
@@ -173,3 +174,8 @@ def test_o2_latest_and_p13_view(spark):
                                 "topic string, partition int, offset long, value string")
     lines = [r.line for r in serving.topic_view(env).orderBy("offset").collect()]
     assert lines == ['[p0@1] {"a": 1}', "[p0@2] hello"]
+
+
+def test_f13_retention_days(spark):
+    df = spark.createDataFrame([(86_400_000,), (604_800_000,), (86_399_999,), (-1,), (None,)], "ms long")
+    assert [r[0] for r in df.select(millis_to_days(df.ms)).collect()] == [1, 7, 0, None, None]
