@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from citystream.llm.license import Model
+
 OP5 = r"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
@@ -31,6 +33,58 @@ SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdic
 FROM parts p LEFT JOIN fits f USING (page_id)
 """
 
+
+
+def _values(rows) -> str:
+    quoted = lambda v: "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
+    return ", ".join(f"({', '.join(map(quoted, r))})" for r in rows)
+
+
+def _op2() -> str:
+    m = Model()
+    return rf"""
+WITH weights(term, weight) AS (VALUES {_values(sorted(m.weights.items()))}),
+postings(term, template, part) AS (VALUES {_values(m.postings)}),
+norms(template, license, norm) AS (VALUES {_values(m.norms)}),
+files AS (
+  SELECT concat_ws('/', source, lang, CAST(CAST(floor(doc_id / 100) AS BIGINT) AS VARCHAR),
+                   CASE WHEN length(text) <= 400 THEN 'LICENSE-' || doc_id ELSE doc_id || '.txt' END) AS path,
+         text, length(text) <= 400 AS named
+  FROM documents),
+lines AS (
+  SELECT path, unnest(string_split(text, chr(10))) AS line FROM files UNION ALL SELECT path, text FROM files WHERE named),
+terms AS (
+  SELECT line, term, count(*) AS tf
+  FROM (SELECT line, trim(unnest(regexp_split_to_array(lower(line), '[^a-z0-9.]+')), '.') AS term
+        FROM (SELECT DISTINCT line FROM lines))
+  WHERE term <> '' GROUP BY line, term),
+weighed AS (
+  SELECT line, term, tf * coalesce(weight, {m.unseen}) AS part_a FROM terms LEFT JOIN weights USING (term)),
+own_norms AS (SELECT line, CAST(sum(part_a * part_a) AS DOUBLE) AS norm_a FROM weighed GROUP BY line),
+dots AS (
+  SELECT line, template, CAST(sum(part_a * part) AS DOUBLE) AS dot
+  FROM weighed JOIN postings USING (term) GROUP BY line, template),
+scored AS (
+  SELECT line, license, dot / sqrt(CAST(norm AS DOUBLE) * norm_a) AS score
+  FROM dots JOIN norms USING (template) JOIN own_norms USING (line)),
+own AS (
+  SELECT path, license, score FROM lines JOIN scored USING (line) WHERE score >= {m.threshold}
+  QUALIFY row_number() OVER (PARTITION BY path ORDER BY score DESC, license) = 1),
+given AS (
+  SELECT regexp_replace(path, '/?[^/]*$', '') AS above, license, score FROM own WHERE regexp_matches(path, '/LICENSE-[0-9]+$')
+  QUALIFY row_number() OVER (PARTITION BY above ORDER BY score DESC, license) = 1),
+placed AS (SELECT path, regexp_replace(path, '/?[^/]*$', '') AS dir FROM files),
+nearest AS (
+  SELECT dir, above, license, score
+  FROM (SELECT DISTINCT dir FROM placed) JOIN given ON dir = above OR starts_with(dir, above || '/') OR above = ''
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY length(above) DESC) = 1)
+SELECT p.path, coalesce(o.license, n.license) AS license, coalesce(o.score, n.score) AS score,
+       CASE WHEN o.license IS NOT NULL THEN 'own' WHEN n.license IS NOT NULL THEN 'inherited' END AS origin,
+       CASE WHEN o.license IS NULL THEN n.above END AS inherited_from
+FROM placed p LEFT JOIN own o USING (path) LEFT JOIN nearest n USING (dir)
+"""
+
+
 OP3 = r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 firsts AS (SELECT html, max(page_id) AS first_id FROM p GROUP BY html),
@@ -96,4 +150,4 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_
 FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN items i USING (doc_id)
 """
 
-ORACLE = {"op3_warc": OP3, "op5_top_k": OP5, "op6_url_filter": OP6, "op8_chat": OP8, "op10_decontaminate": OP10}
+ORACLE = {"op2_license": _op2(), "op3_warc": OP3, "op5_top_k": OP5, "op6_url_filter": OP6, "op8_chat": OP8, "op10_decontaminate": OP10}
