@@ -6,12 +6,11 @@ Weights are integers (a thousandth of a nat), so that sums are exact. A
 candidate matches the template of the highest cosine if that reaches
 ``THRESHOLD``.
 
-A candidate that reaches the threshold must hold one of a template's leading
-terms: without them the cosine is at most the norm share of the rest, which is
-chosen under the threshold, common words first. And it must have few other
-words: with k words of any template among d distinct ones, the cosine's square
-is at most k^2 / (k^2 + d - k). Candidates that fail a bound are passed over,
-which loses no match. Equal candidates are scored once, under their hash,
+With a template, a candidate's cosine is at most the norm share of the terms
+they have in common. So a match must hold terms of enough norm, and above all
+one of the template's leading terms: the rest together, common words first, are
+chosen to stay under the threshold. Candidates that fail either bound are passed
+over, which loses no match. Equal candidates are scored once, under their hash,
 however many files hold them.
 
 A file without a licence of its own takes that of the nearest directory above
@@ -76,6 +75,15 @@ def _terms(text: str) -> Counter:
     return Counter(w.strip(".") for w in re.split(WORD, text.lower()) if w.strip("."))
 
 
+def prefix_tree(words: list[str]) -> str:
+    """A pattern for any of ``words`` in which shared beginnings are tried once."""
+    tails: dict[str, list[str]] = {}
+    for w in words:
+        tails.setdefault(w[:1], []).append(w[1:])
+    ways = [re.escape(head) + (prefix_tree(rest) if any(rest) else "") for head, rest in sorted(tails.items()) if head]
+    return f"(?:{'|'.join(ways)}){'?' * ('' in tails)}"
+
+
 class Model:
     """Term and template weights. ``unseen`` is the weight of a term of no template."""
 
@@ -96,25 +104,31 @@ class Model:
                     leading.add(t)
         self.leading = sorted(leading)
 
-    @staticmethod
-    def _any(words) -> str:
-        return rf"(?i)(?<![a-z0-9])({'|'.join(map(re.escape, words))})(?![a-z0-9])"
-
     def pattern(self) -> str:
         """Finds texts that hold a leading term."""
-        return self._any(self.leading)
+        return rf"(?i)(?<![a-z0-9]){prefix_tree(self.leading)}(?![a-z0-9])"
 
-    def possible(self, line: str) -> Column:
-        """Whether the bounds let ``line`` match."""
-        k = F.regexp_count(line, F.lit(self._any(sorted(self.weights, key=lambda w: (-len(w), w)))))
-        d = F.size(F.array_distinct(tokens(line)))
-        return F.col(line).rlike(self.pattern()) & (k * k >= self.threshold ** 2 * (k * k + F.greatest(d - k, F.lit(0))))
+    def enough(self, known: str) -> str:
+        """SQL for: the array ``known`` holds terms of enough norm of a template."""
+        sums = {i: [] for i, _, _ in self.norms}
+        for term, i, part in self.postings:
+            sums[i].append(f"if(array_contains({known}, '{term}'), {part * part}L, 0L)")
+        return " OR ".join(f"{' + '.join(sums[i])} >= {math.floor(self.threshold ** 2 * norm)}L" for i, _, norm in self.norms)
 
 
-def tokens(line: str) -> Column:
+def tokens(line: Column) -> Column:
     return F.filter(F.transform(F.split(F.lower(line), WORD), lambda x: F.btrim(x, F.lit("."))), lambda x: x != "")
 
 
+def candidate_lines(rows: DataFrame, lines: Column, model: Model) -> DataFrame:
+    """The rows' other columns with each of their ``lines`` that may match."""
+    vocabulary = F.array(*map(F.lit, sorted(model.weights)))
+    leading = F.filter(lines, lambda x: x.rlike(model.pattern()))
+    known = F.transform(leading, lambda x: F.struct(x.alias("line"), F.array_intersect(tokens(x), vocabulary).alias("known")))
+    # The outer form: the plain one would have a filter inferred that computes all this twice.
+    return rows.select("*", F.inline_outer(known)).where(f"line IS NOT NULL AND ({model.enough('known')})").drop("known")
+
+
 def _rows(spark, rows: list[tuple], schema: str) -> DataFrame:
     """A fixed small table out of literals."""
     names = [c.split()[0] for c in schema.split(", ")]
@@ -126,7 +140,7 @@ def scores(candidates: DataFrame, model: Model) -> DataFrame:
     """(line_id, license, score) of the rows (line_id, line) that match."""
     spark = candidates.sparkSession
     terms = (candidates.groupBy("line_id").agg(F.first("line").alias("line"))
-             .select("line_id", F.explode(tokens("line")).alias("term"))
+             .select("line_id", F.explode(tokens(F.col("line"))).alias("term"))
              .groupBy("line_id", "term").agg(F.count("*").alias("tf")))
     # All three tables are the templates', a fixed few hundred rows.
     weights = F.broadcast(_rows(spark, sorted(model.weights.items()), "term string, weight bigint"))
@@ -153,9 +167,8 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", model
     rows = files.select(files[path_col].alias("path"), files[text_col].alias("text"))
     named = F.coalesce(license_file if license_file is not None else F.col("path").rlike(LICENSE_FILE), F.lit(False))
     whole = F.when(named, F.array("text")).otherwise(F.array().cast("array<string>"))
-    lines = (rows.where(F.col("text").rlike(model.pattern()))
-             .select("path", F.explode(F.concat(F.split("text", "\n"), whole)).alias("line"))
-             .where(model.possible("line")).select("path", F.sha2("line", 256).alias("line_id"), "line"))
+    lines = (candidate_lines(rows, F.concat(F.split("text", "\n"), whole), model)
+             .select("path", F.sha2("line", 256).alias("line_id"), "line"))
     matched = bounded(cut(scores(lines, model)))
     own = cut(lines.select("path", "line_id").join(matched, "line_id").groupBy("path")
               .agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("best"))

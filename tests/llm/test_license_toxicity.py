@@ -2,9 +2,11 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from citystream.llm import license, toxicity
 
@@ -50,13 +52,19 @@ def test_scores_equal_dense_cosines(spark):
         return min(found) if found else None
 
     df = spark.createDataFrame([(x, x) for x in lines], "line_id string, line string")
-    possible = {r.line for r in df.where(model.possible("line")).collect()}
+    possible = {r.line for r in license.candidate_lines(df.select("line_id"), F.array("line_id"), model).collect()}
     found = {r.line_id: (-round(r.score, 9), r.license) for r in license.scores(df, model).collect()}
     for line in set(lines):
         assert found.get(line) == best(line)
         assert line in possible or best(line) is None
 
 
+def test_prefix_tree():
+    words = ["a", "ab", "abc", "b.c", "bd"]
+    found = re.compile(license.prefix_tree(words) + r"\Z")
+    assert [w for w in [*words, "", "abcd", "b", "bxc", "d"] if found.match(w)] == words
+
+
 def test_no_python_in_the_plan(spark):
     plan = license.scan(files(spark, [("a/LICENSE", GPL)]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
