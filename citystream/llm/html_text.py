@@ -44,26 +44,31 @@ INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em fon
 small span strike strong sub sup time tt u var wbr img""".split())
 BOILERPLATE_TAGS = frozenset("nav aside footer form dialog menu head".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-BOILERPLATE_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment
-comments consent cookie cookies disclaimer disqus footer form gdpr header login menu menus modal nav navbar navigation newsletter
-notice notices notification overlay pager pagination popup promo promotion related replies reply respond search share sharing
-sidebar signup skip social sponsor sponsored subscribe subscription toolbar topbar widget widgets""".split())
-ARTICLE_NAMES = frozenset("article post entry story content main body text".split())
+BOILERPLATE_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising aside banner breadcrumb breadcrumbs
+colophon comment comments consent cookie cookies copyright disclaimer discussion disqus footer form gdpr header login masthead menu
+menus modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promotion related
+replies reply respond responses search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar
+topbar widget widgets""".split())
+ARTICLE_NAMES = frozenset("article post entry story content".split())
+_CAMEL = re.compile(r"[A-Z]?[a-z]+")
 
 
 def _is_boilerplate(tag: str, attrs: str, in_article: bool) -> bool:
     if tag in BOILERPLATE_TAGS or tag == "header" and not in_article:
         return True
     for name, *values in _NAMES.findall(attrs) if attrs else ():
-        name, value = name.lower(), "".join(values).lower()
+        name, given = name.lower(), "".join(values)
+        value = given.lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name == "role" and value in BOILERPLATE_ROLES:
             return True
         if name in ("class", "id") and tag not in ("body", "html", "main"):
-            for word in value.split():
-                parts = set(re.split(r"[-_]+", word))
-                if parts & BOILERPLATE_NAMES and not parts & ARTICLE_NAMES:
+            for word in given.split():
+                parts = {word.lower(), *re.split(r"[-_]+", word.lower()), *map(str.lower, _CAMEL.findall(word))}
+                junk = parts & BOILERPLATE_NAMES
+                # The heading of an article is often in its own header block.
+                if junk and (junk != {"header"} or not (in_article or parts & ARTICLE_NAMES)):
                     return True
     return False
 

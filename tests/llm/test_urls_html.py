@@ -48,6 +48,14 @@ def test_article_with_all_kinds_of_boilerplate():
     assert html_text.main_text(page) == f"Title & more {LONG} Second line, a<b. Yes."
 
 
+def test_names_of_blocks():
+    keep = ["post-header", "entry-content", "articleHeader", "adelaide", "main", "lead"]
+    drop = ["post-comments", "articleFooter", "main-menu", "content_sidebar", "story-ad", "pageHeader", "cookieBanner", "Comments"]
+    for name in keep + drop:
+        page = f"<body><div class='x {name}'><p>{LONG} block</p></div><div><p>{LONG}</p></div></body>"
+        assert html_text.main_text(page) == (f"{LONG} block {LONG}" if name in keep else LONG), name
+
+
 def test_surge_and_dive_without_article_elements():
     page = f"<body><div>Menu</div><ul><li><a href=a>One</a><li><a href=b>Two</a></ul><div><h2>Head</h2><p>{LONG}<p>{LONG} x</div><footer>f</footer></body>"
     assert html_text.main_text(page) == f"Menu Head {LONG} {LONG} x" or html_text.main_text(page) == f"Head {LONG} {LONG} x"
