@@ -167,8 +167,9 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", model
     rows = files.select(files[path_col].alias("path"), files[text_col].alias("text"))
     named = F.coalesce(license_file if license_file is not None else F.col("path").rlike(LICENSE_FILE), F.lit(False))
     whole = F.when(named, F.array("text")).otherwise(F.array().cast("array<string>"))
-    lines = (candidate_lines(rows, F.concat(F.split("text", "\n"), whole), model)
-             .select("path", F.sha2("line", 256).alias("line_id"), "line"))
+    # Read twice below: the scan of all texts is cut off here.
+    lines = cut(candidate_lines(rows, F.concat(F.split("text", "\n"), whole), model)
+                .select("path", F.sha2("line", 256).alias("line_id"), "line"))
     matched = bounded(cut(scores(lines, model)))
     own = cut(lines.select("path", "line_id").join(matched, "line_id").groupBy("path")
               .agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("best"))
