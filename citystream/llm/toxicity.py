@@ -3,14 +3,17 @@
 The categories are predicted in order: the model of a category sees a
 document's words and the probabilities of all earlier categories. A later model
 is trained on out-of-fold probabilities, as they are at prediction time;
-the folds follow the text, so copies never sit on both sides.
+the folds follow the near-copies, so none sit on both sides.
 
 Training uses a bounded sample of the labelled rows (``MAX_TRAIN``, the ids
 with the smallest hashes). Word statistics and the choice of each category's
 ``FEATURES`` words are Spark aggregates over that sample; what reaches the
 driver is at most ``MAX_TRAIN`` short lists of feature numbers. A word's value
-is 1 if it occurs anywhere in the whole text. A word must occur in a twentieth
-of a category's documents, so the wording of one group of copies isn't learned.
+is 1 if it occurs anywhere in the whole text. Stems are chosen like words: a
+stem's value is 1 if two or more different words of the text begin with it, so
+words that vary behind a common beginning are learned together. Near-copies
+(linked SimHash fingerprints) with equal labels count as one document, so the
+wording of one group of copies isn't learned, while a word of a rare language is.
 Prediction reads every whole text once, in the tasks, and shuffles nothing.
 
 Defined results: a null text has no words. Without labelled rows every
@@ -23,18 +26,23 @@ Other columns are not carried along.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citystream.llm import simhash
 from citystream.llm.common import cut, map_rows
+from citystream.llm.components import components
 from citystream.session import prepare
 
-MAX_TRAIN, FEATURES, FOLDS, RIDGE = 20_000, 64, 5, 0.1
-#: A word must occur in this share of a category's documents, in so many of them, and deviate by so many standard errors.
-SHARE, LEAST, DEVIATION = 0.05, 3, 5.0
+MAX_TRAIN, FEATURES, FOLDS, RIDGE = 20_000, 256, 5, 0.1
+#: A word must occur in so many of a category's documents, and deviate by so many standard errors.
+LEAST, DEVIATION = 3, 5.0
+#: Letters of a stem; words and bits by which near-copies are told.
+STEM, SHINGLE, MAX_BITS = range(3, 9), 3, 3
 #: Least precision that a threshold must have on the out-of-fold predictions.
 PRECISION = 0.95
 
@@ -45,9 +53,22 @@ def words(text: str | None) -> set[str]:
     return set(_WORD.findall(text.lower())) if text else set()
 
 
+def stems(found: Iterable[str], heads: frozenset[str] | None = None) -> set[str]:
+    """The beginnings that two or more of the different words ``found`` share,
+    marked by a star; of the words that begin with one of ``heads``, if given."""
+    once, again = set(), set()
+    for w in found:
+        if heads is None or w[:STEM[0]] in heads:
+            for k in STEM:
+                if k > len(w):
+                    break
+                (again if w[:k] in once else once).add(w[:k])
+    return {p + "*" for p in again}
+
+
 @dataclass
 class Chain:
-    """``weights[j]``: intercept, words, earlier categories of category j."""
+    """``weights[j]``: intercept, words and stems, earlier categories of category j."""
 
     categories: list[str]
     vocabulary: dict[str, int]
@@ -62,8 +83,10 @@ class Chain:
         x = np.zeros((len(texts), 1 + len(self.vocabulary) + len(self.categories)))
         x[:, 0] = 1
         known = self.vocabulary
+        heads = frozenset(w[:STEM[0]] for w in known if w.endswith("*"))
         for i, text in enumerate(texts):
-            for w in words(text) & known.keys():
+            own = words(text)
+            for w in (own | stems(own, heads)) & known.keys():
                 x[i, known[w] + 1] = 1
         first = 1 + len(known)
         for j, w in enumerate(self.weights):
@@ -131,23 +154,31 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
     texts = (docs.select(docs[id_col].alias("_key"), docs[text_col].alias("_text"))
              .join(F.broadcast(sample), "_key").where("_text IS NOT NULL"))
     texts = map_rows(texts, label_cols, "_text", lambda: lambda ts: {
-        "words": [sorted(words(t)) for t in ts]}, "words array<string>")
-    rows = cut(texts.select(
-        "words", F.pmod(F.xxhash64("words"), F.lit(FOLDS)).cast("int").alias("fold"),
-        *(F.coalesce(c.cast("int"), F.lit(0)).alias(f"y{j}") for j, c in enumerate(categories.values())))
-        .dropDuplicates(["words"]))
+        "words": [sorted(words(t)) for t in ts],
+        "fp": np.array([simhash.fingerprint(t, SHINGLE) for t in ts], np.uint64).view(np.int64)}, "words array<string>, fp long")
     ys = [f"y{j}" for j in range(len(names))]
+    rows = cut(texts.select("words", "fp", *(F.coalesce(c.cast("int"), F.lit(0)).alias(y) for y, c in zip(ys, categories.values())))
+               .groupBy("fp", *ys).agg(F.min_by("words", F.struct(F.xxhash64("words"), "words")).alias("words")))
+    roots = components(simhash.links(rows.select("fp").distinct(), MAX_BITS))
+    # At most max_train narrow rows; the least fingerprint stands for its near-copies.
+    first = (rows.select("fp", *ys).join(roots, rows["fp"] == roots["node"], "left")
+             .groupBy(F.coalesce("root", "fp").alias("root"), *ys).agg(F.min("fp").alias("fp")))
+    rows = (rows.join(F.broadcast(first), ["fp", *ys])
+            .select("words", F.pmod(F.xxhash64("root"), F.lit(FOLDS)).cast("int").alias("fold"), *ys))
+    rows = cut(map_rows(rows, ["fold", *ys], "words", lambda: lambda ws: {
+        "words": [[*w, *sorted(stems(w))] for w in ws]}, "words array<string>"))
     total, *positive = rows.agg(F.count("*"), *(F.coalesce(F.sum(y), F.lit(0)) for y in ys)).first()
     if not total:
         return Chain(names, {}, [])
-    counted = (rows.select(F.explode("words").alias("word"), *ys).groupBy("word")
-               .agg(F.count("*").alias("n"), *(F.sum(y).alias(y) for y in ys)))
+    counted = cut(rows.select(F.explode("words").alias("word"), *ys).groupBy("word")
+                  .agg(F.count("*").alias("n"), *(F.sum(y).alias(y) for y in ys))
+                  .where(F.greatest(F.lit(0), *ys) >= LEAST))
     chosen: set[str] = set()
     for y, n_pos in zip(ys, positive):
         # Deviation of a word's count among the positives, in standard errors.
         share = n_pos / total
         z = (F.col(y) - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1)
-        fit = (counted.where(F.col(y) >= max(LEAST, SHARE * n_pos)).withColumn("z", F.abs(z))
+        fit = (counted.where(F.col(y) >= LEAST).withColumn("z", F.abs(z))
                .where(F.col("z") >= DEVIATION).orderBy(F.desc("z"), "word").limit(FEATURES))
         chosen.update(r.word for r in fit.select("word").collect())
     vocabulary = {w: i for i, w in enumerate(sorted(chosen))}

@@ -109,3 +109,37 @@ def test_edges(spark, labelled):
     none = toxicity.judge(odd, labels.limit(0)).collect()
     assert len(none) == 4 and not any(r.toxic for r in none)
     assert toxicity.judge(odd.limit(0), labels).count() == 0
+
+
+def test_held_out_labels_of_every_language(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    chain = toxicity.train(docs, labels.where("doc_id % 2 = 0").select("doc_id", "toxic"), toxicity.document_chain())
+    held = (toxicity.predict(docs, chain).join(labels.where("doc_id % 2 = 1"), "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+            .selectExpr("lang", f"p_toxic >= {chain.threshold} AS said", "toxic = 1 AS truth").toPandas())
+    for lang, own in held.groupby("lang"):
+        hits = (own.said & own.truth).sum()
+        assert hits >= 0.75 * own.truth.sum(), lang
+        assert hits >= 0.85 * own.said.sum(), lang
+
+
+def test_stems():
+    assert toxicity.stems(["abcdx", "abcdy", "abz", "ab"]) == {"abc*", "abcd*"}
+    assert toxicity.stems(["abcdx", "abcdy", "xyz1", "xyz2"], frozenset(["xyz"])) == {"xyz*"}
+    assert not toxicity.stems(["word"])
+
+
+def test_near_copies_count_once(spark):
+    rnd = random.Random(3)
+    noise = ["".join(rnd.choice("bdfgklmnprst") + rnd.choice("aeiou") for _ in range(3)) for _ in range(800)]
+    page = " ".join(rnd.choice(noise[:400]) + "qu" for _ in range(1500))
+    rows = [(i, f"{page} tail{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10]}", 1) for i in range(40)]
+    # The words of a rare language: 12 of 440 documents, each with two words of one stem.
+    for i in range(40, 440):
+        bad = i % 33 == 0
+        own = rnd.sample(noise, 40) + (["zhu" + w for w in rnd.sample(noise, 4)] if bad else [])
+        rows.append((i, " ".join(own), int(bad)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    chain = toxicity.train(table.select("doc_id", "text"), table.select("doc_id", "toxic"), {"toxic": F.col("toxic") > 0})
+    assert "zhu*" in chain.vocabulary
+    assert not any(w.rstrip("*").endswith("qu") or w.startswith("tail") for w in chain.vocabulary)
