@@ -119,22 +119,28 @@ def anchor_rows(distinct: DataFrame, max_bits: int) -> DataFrame:
 
 def forest(homes: np.ndarray, others: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     """Links (root, member) that join what the links between ``homes`` and
-    ``homes`` or ``others`` join: a search from every home in turn, in which
-    each home is compared once with the fingerprints not yet reached."""
+    ``homes`` or ``others`` join: a search from every home not yet reached, in
+    which each home is compared once with the fingerprints this search hasn't
+    reached. The others are never searched from, so every search meets them anew."""
     is_home, out = set(homes.tolist()), []
-    left = np.unique(np.concatenate([homes, others]))
+    rest = np.unique(np.concatenate([homes, others]))
     for start in homes.tolist():
         if start not in is_home:
             continue
         is_home.discard(start)
-        queue, left = [start], left[left != start]
+        rest = rest[rest != start]
+        queue, left, reached = [start], rest, []
         while queue and len(left):
             near = np.bitwise_count(left.view(np.uint64) ^ np.array([queue.pop()]).view(np.uint64)[0]) <= max_bits
             if near.any():
                 found, left = left[near].tolist(), left[~near]
                 out += [(start, x) for x in found]
-                queue += [x for x in found if x in is_home]
-                is_home.difference_update(found)
+                again = [x for x in found if x in is_home]
+                queue += again
+                reached += again
+                is_home.difference_update(again)
+        if reached:
+            rest = rest[~np.isin(rest, reached)]
     return out
 
 

@@ -90,3 +90,29 @@ def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 80)] + [(7, 7)]
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**{i: 0 for i in range(61)}, **{1000 + i: 1000 for i in range(80)}}
+
+
+# A chain c-b-a-d of links of 3 bits, without any other link.
+CHAIN = [0x0000000800000001, 0x0000808800000003, 0x000080B800000002, 0x0000030800000005]
+
+
+def test_a_replica_is_met_by_every_home():
+    code = simhash.HammingCode(32)
+    for order in itertools.permutations(CHAIN):
+        groups = {}
+        for v in order:
+            for part in range(2):
+                at = code.anchors(np.array([v >> 32 * part], np.uint64))[0].tolist()
+                for k, anchor in enumerate(dict.fromkeys(at)):
+                    groups.setdefault((part, anchor), ([], []))[k > 0].append(v)
+        pairs = [x for h, o in groups.values() for x in simhash.forest(np.array(h, np.int64), np.array(o, np.int64), 3)]
+        reached = {order[0]}
+        for _ in CHAIN:
+            reached |= {x for p in pairs if reached & set(p) for x in p}
+        assert reached == set(CHAIN)
+
+
+@pytest.mark.parametrize("block", [1, 2, 4096])
+def test_chain_is_one_component(spark, block):
+    df = spark.createDataFrame([(signed(v),) for v in CHAIN], "fp long").coalesce(1)
+    assert {r.node: r.root for r in components(simhash.links(df, 3, block)).collect()} == {v: min(CHAIN) for v in CHAIN}
