@@ -33,6 +33,23 @@ SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdic
 FROM parts p LEFT JOIN fits f USING (page_id)
 """
 
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP11 = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS row_no, {_TERMS} AS terms FROM documents WHERE text IS NOT NULL),
+sized AS (SELECT doc_id, row_no, len(terms) AS n FROM d WHERE len(terms) > 0),
+total AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sized),
+tf AS (SELECT row_no, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT row_no, unnest(terms) AS term FROM d) GROUP BY row_no, term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM tf, total GROUP BY term),
+asked AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked JOIN w USING (term) JOIN tf USING (term) JOIN sized USING (row_no), total
+  GROUP BY item_id, doc_id, row_no),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 50
+"""
 
 
 def _values(rows) -> str:
@@ -150,4 +167,5 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_
 FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN items i USING (doc_id)
 """
 
-ORACLE = {"op2_license": _op2(), "op3_warc": OP3, "op5_top_k": OP5, "op6_url_filter": OP6, "op8_chat": OP8, "op10_decontaminate": OP10}
+ORACLE = {"op2_license": _op2(), "op3_warc": OP3, "op5_top_k": OP5, "op6_url_filter": OP6, "op8_chat": OP8, "op10_decontaminate": OP10,
+          "op11_ranked": OP11}
