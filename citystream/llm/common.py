@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -16,6 +18,14 @@ BROADCAST_ROWS = 250_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def worker_store(name: str) -> dict:
+    """A dict that lives as long as the Python worker, so that what one task
+    has learned serves the worker's later ones. (The package travels by value:
+    its own module variables are new in every task.)"""
+    own = sys.modules.setdefault("_citystream_worker", types.ModuleType("_citystream_worker"))
+    return own.__dict__.setdefault(name, {})
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
