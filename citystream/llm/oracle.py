@@ -51,6 +51,40 @@ r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 50
 """
 
+OP13 = r"""
+WITH own AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+lent AS (
+  SELECT *, xor(4294967295, list_reduce(
+    list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ord(s) AS BIGINT))),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]),
+                             lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END)))) % 6 AS h
+  FROM own),
+built AS (
+  SELECT c.conv_id, list_concat(coalesce(list_slice(b.turns, 1, c.h), []), list_slice(c.turns, c.h + 1, len(c.turns))) AS turns
+  FROM lent c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100),
+paths AS (
+  SELECT conv_id, len(turns) AS size, depth, list_slice(turns, 1, depth) AS node
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS depth FROM built)),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE depth = size), '')) AS ends_sha256
+  FROM paths GROUP BY node, depth),
+births AS (
+  SELECT list_slice(node, 1, depth - 1) AS node, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+known AS (
+  SELECT n.*, coalesce(b.n_children, 0) AS n_children, p.conv_id AS parent_conv_id
+  FROM nodes n LEFT JOIN births b ON b.depth = n.depth AND b.node = n.node
+  LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = list_slice(n.node, 1, n.depth - 1)),
+sums AS (
+  SELECT list_slice(node, 1, d) AS node, d AS depth, count(*) FILTER (WHERE n_children = 0) AS n_leaves,
+         sum(CASE WHEN depth > 0 THEN (n_convs - 1) * length(node[depth].text) ELSE 0 END) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM known) GROUP BY ALL)
+SELECT k.conv_id, k.depth, k.parent_conv_id, k.n_convs, k.n_children, s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, k.ends_sha256
+FROM known k JOIN sums s ON s.depth = k.depth AND s.node = k.node
+"""
+
 
 def _values(rows) -> str:
     quoted = lambda v: "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
@@ -168,4 +202,4 @@ FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN items i USING (doc_id)
 """
 
 ORACLE = {"op2_license": _op2(), "op3_warc": OP3, "op5_top_k": OP5, "op6_url_filter": OP6, "op8_chat": OP8, "op10_decontaminate": OP10,
-          "op11_ranked": OP11}
+          "op11_ranked": OP11, "op13_prefix_trie": OP13}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from citystream.llm import bpe, chat, decontaminate, html_text, license, packing, ranked, simhash, topk, toxicity, url_filter, warc
+from citystream.llm import bpe, chat, decontaminate, html_text, license, packing, prefix_trie, ranked, simhash, topk, toxicity, url_filter, warc
 from citystream.llm.common import read_table
 from citystream.llm.oracle import ORACLE  # noqa: F401  (read by the entry module with QUERIES)
 
@@ -82,6 +82,10 @@ def op12_packing(spark, sf_dir):
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), model, size=2048, end_id=0)
 
 
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html, op2_license, op3_warc, op4_bpe, op5_top_k, op6_url_filter, op7_toxicity, op8_chat, op9_simhash, op10_decontaminate,
-    op11_ranked, op12_packing)}
+    op11_ranked, op12_packing, op13_prefix_trie)}
