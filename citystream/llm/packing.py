@@ -52,7 +52,7 @@ from citystream.session import prepare
 #: small, and over which an empty rest undoes a filled configuration.
 SHARD, GROUPS, SMALL, LOOSE = 20_000, 48, 1 / 8, 1 / 512
 #: Words remembered by a worker, and the longest remembered.
-CACHE_WORDS, CACHE_CHARS = 400_000, 32
+CACHE_WORDS, CACHE_CHARS = 800_000, 32
 #: Characters whose words are held at a time (or one text).
 STRETCH = 1 << 20
 
@@ -78,6 +78,8 @@ class WordEncoder:
 
     def _learn(self, words: set[str]) -> dict[str, bytes]:
         """Ids of new words, encoded as one text with blanks between them."""
+        if not words:
+            return {}
         fresh = sorted(words)
         found = self.library.encode(" ".join(fresh), add_special_tokens=False)
         ids, own = np.array(found.ids, "<u4"), np.array(found.word_ids, np.int64)
@@ -108,18 +110,16 @@ class WordEncoder:
                 whole.append(i)
             else:
                 split.append((i, self.words(text.lower())))
-        new = {w for _, ws in split for w in set(ws) if w not in self.known}
-        rare = {}
-        if new:
-            made = self._learn(new)
-            if len(self.known) + len(made) > CACHE_WORDS:
-                rare = self.known  # still needed for this batch
-                self.known = {}
-            self.known.update((w, x) for w, x in made.items() if len(w) <= CACHE_CHARS)
-            rare = {**rare, **made}
         known = self.known
+        made = self._learn(set().union(*(ws for _, ws in split)).difference(known))
+        known.update(made)
         for i, ws in split:
-            out[i] = b"".join([known[w] if w in known else rare[w] for w in ws])
+            out[i] = b"".join(map(known.__getitem__, ws))
+        for w in made:
+            if len(w) > CACHE_CHARS:
+                del known[w]
+        if len(known) > CACHE_WORDS:
+            known.clear()
         for i in whole:
             out[i] = np.array(self.library.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes()
         return out
