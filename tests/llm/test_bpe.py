@@ -36,8 +36,33 @@ def test_equals_the_library_and_decodes(ranks, library):
     assert not any(e.queue.buckets) and not any(e.queue.low)
 
 
+def test_pieces_merged_together(ranks, library):
+    e = bpe.Encoder(ranks, P.PATTERN)
+    assert [np.frombuffer(x, "<u4").tolist() for x in e.encode_all([None, *texts()])] == [[], *(library.encode_ordinary(t) for t in texts())]
+
+
+def test_lower_rank_comes_first():
+    """Merging 'bc' makes 'abc', of lower rank, before the next 'bc' of the piece."""
+    ranks = {bytes((b,)): 1000 + b for b in range(256)} | {b"abc": 0, b"abcb": 1, b"bc": 2, b"cb": 3}
+    want = tiktoken.Encoding("own", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})
+    e = bpe.Encoder(ranks, r"\S+")
+    rnd = random.Random(2)
+    for t in ["abcbc abcb bcbcabcbcbc", *("".join(rnd.choice("abc ") for _ in range(60)) for _ in range(100))]:
+        assert np.frombuffer(e.encode(t), "<u4").tolist() == want.encode_ordinary(t)
+
+
+def test_every_document(ranks, library):
+    import pyarrow.parquet as pq
+
+    docs = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"]).column(0).to_pylist()
+    e = bpe.Encoder(ranks, P.PATTERN)
+    for text, ids in zip(docs, e.encode_all(docs)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text or "")
+
+
 def test_pieces_forgotten_and_met_again(ranks, library, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_PIECES", 3)
+    monkeypatch.setattr(bpe, "STRETCH", 50)
     e = bpe.Encoder(ranks, P.PATTERN)
     for t in texts()[-60:] * 2:
         assert np.frombuffer(e.encode(t), "<u4").tolist() == library.encode_ordinary(t)
