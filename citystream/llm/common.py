@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from citystream.session import checkpoint_root, prepare
 
-#: A lookup side is broadcast only when counted at or below this many narrow rows.
-BROADCAST_ROWS = 250_000
+#: A lookup side is broadcast only when counted at or below so many rows and bytes.
+BROADCAST_ROWS, BROADCAST_BYTES = 250_000, 1 << 25
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -36,10 +36,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it was counted to hold at most ``most``
-    rows (all columns narrow); otherwise as it is, for a shuffled join."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def small(df: DataFrame, most: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` was counted to hold at most ``most`` rows, and ``size``
+    bytes in its columns of no fixed width."""
+    wide = [F.octet_length(c if t in ("string", "binary") else F.to_json(F.struct(c)))
+            for c, t in df.dtypes if t in ("string", "binary") or t.startswith(("array", "struct", "map"))]
+    held = F.sum(sum((F.coalesce(w, F.lit(0)) for w in wide), F.lit(0).cast("long")))
+    n, n_bytes = df.limit(most + 1).agg(F.count("*"), held).first()
+    return n <= most and (n_bytes or 0) <= size
+
+
+def bounded(df: DataFrame, most: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it was counted small; otherwise as it
+    is, for a shuffled join."""
+    return F.broadcast(df) if small(df, most, size) else df
 
 
 def ascii_lower(text):

@@ -12,7 +12,9 @@ are compared word for word with the items' windows, which drops chance matches.
 Shorter items take part with their whole length as k and w = 1.
 
 The corpus is read once: each document gives one row for itself and one for
-every kept hash that the benchmark also keeps. The benchmark's hashes and
+every kept hash that the benchmark also keeps. Words are hashed in stretches
+that overlap by a window less a word, so that no row holds more than a stretch,
+however long the text. The benchmark's hashes and
 windows are broadcast if counted small, else joined by shuffle; in that case a
 row carries only the few words around its hash. Texts are told apart by their
 SHA-256, so copies of one text are resolved once.
@@ -29,11 +31,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citystream.llm.common import BROADCAST_ROWS, ascii_lower, bounded, cut
+from citystream.llm.common import BROADCAST_ROWS, ascii_lower, bounded, cut, small
 from citystream.session import prepare
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+#: Words of a stretch.
+STRETCH = 512
+
 # A kept hash is a long: 33 bits of hash, then 31 bits that fall with the
 # position, so that the smallest of equal hashes is the last one.
 _POSITION = (1 << 31) - 1
@@ -78,16 +83,27 @@ def item_windows(benchmark: DataFrame, window: int, id_col: str, text_col: str)
             .select("id", "len", F.expr("concat_ws(' ', transform(sequence(s, s + len - 1), i -> words[i]))").alias("win")).distinct())
 
 
+def stretches(df: DataFrame, window: int) -> DataFrame:
+    """``df`` (words, n) with a row for every ``STRETCH`` words: ``base`` is the
+    first one's place, ``words`` are they and the ``window`` - 1 after them, so
+    every window lies within a stretch. A text without words has one."""
+    cuts = F.expr(f"transform(sequence(0, greatest(n - 1, 0) div {STRETCH}), i -> slice(words, cast(i AS int) * {STRETCH} + 1, {STRETCH + window - 1}))")
+    return (df.withColumn("cuts", cuts).drop("words")
+            # Never empty, but the outer form keeps the optimizer from inferring a
+            # filter on it, which would cut the texts twice.
+            .select("*", F.posexplode_outer("cuts").alias("base", "words")).drop("cuts")
+            .withColumn("base", F.col("base") * STRETCH))
+
+
 def _hashed(df: DataFrame, window: int, short: list[int]) -> DataFrame:
-    """A row for each text (len null) and one for each kept hash."""
-    parts = [(window, kept_hashes("h", "n", *shape(window)))] + [(m, kept_hashes("h", "n", m, 1)) for m in short]
+    """For every stretch: a row for the text (len null) if it is the first, and one for each kept hash."""
+    parts = [(window, kept_hashes("h", "size(words)", *shape(window)))] + [(m, kept_hashes("h", "size(words)", m, 1)) for m in short]
     tagged = [f"transform({sql}, p -> struct({m} AS len, p))" for m, sql in parts]
+    itself = "if(base = 0, array(struct(cast(null AS int) AS len, cast(null AS bigint) AS p)), array())"
     return (df.withColumn("h", F.transform("words", lambda x: F.xxhash64(x)))
-            .withColumn("found", F.expr(
-                f"concat(array(struct(cast(null AS int) AS len, cast(null AS bigint) AS p)), {', '.join(tagged)})"))
-            # Never empty, but the outer form keeps the optimizer from inferring a
-            # filter on it, which would compute the hashes anew for every word.
-            .drop("h").select("*", F.inline_outer("found")).drop("found")
+            .withColumn("found", F.expr(f"concat({itself}, {', '.join(tagged)})"))
+            # The outer form again; a later stretch without hashes gives a row that is dropped here.
+            .drop("h").select("*", F.inline_outer("found")).drop("found").where("p IS NOT NULL OR base = 0")
             .withColumn("hash", F.expr("shiftrightunsigned(p, 31)"))
             .withColumn("pos", F.expr(f"cast({_POSITION} - (p & {_POSITION}) AS int)")).drop("p"))
 
@@ -102,21 +118,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
     short = sorted(m for m in lengths if m < window)
     # A window is a text of its own here: what it keeps is what any text that
     # holds it keeps within it.
-    wanted = (_hashed(windows.select(F.split("win", " ").alias("words"), F.col("len").alias("n")), window, short)
+    wanted = (_hashed(windows.select(F.split("win", " ").alias("words"), F.col("len").alias("n"), F.lit(0).alias("base")), window, short)
               .where("len = n").select("len", "hash", F.lit(True).alias("wanted")).distinct())
     wins = windows.groupBy("win").agg(F.first("len").alias("len"))
-    small = windows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS  # a kept hash per window at most, w of them if short
+    few = small(windows, BROADCAST_ROWS)  # a kept hash per window at most, w of them if short
 
     def context(df: DataFrame) -> DataFrame:
         """The words that windows around the hash may cover, from word ``lo`` on."""
         k, _ = shape(window)
         back = F.when(F.col("len") == window, F.lit(window - k)).otherwise(F.lit(0))
         return (df.withColumn("lo", F.greatest(F.col("pos") - back, F.lit(0)))
-                .withColumn("hi", F.least("pos", F.col("n") - F.col("len")))
-                .withColumn("near", F.expr("transform(sequence(lo, hi + len - 1), i -> words[i])")).drop("words"))
+                .withColumn("hi", F.least("pos", F.size("words") - F.col("len")))
+                .withColumn("near", F.expr("transform(sequence(lo, hi + len - 1), i -> words[i])")).drop("words")
+                .withColumn("lo", F.col("lo") + F.col("base")).withColumn("hi", F.col("hi") + F.col("base")))
 
-    hashed = _hashed(tokenized(docs, id_col, text_col), window, short)
-    if small:
+    hashed = _hashed(stretches(tokenized(docs, id_col, text_col), window), window, short)
+    if few:
         rows = context(hashed.join(F.broadcast(wanted), ["len", "hash"], "left").where("wanted OR len IS NULL"))
     else:
         rows = context(hashed).join(wanted, ["len", "hash"], "left").where("wanted OR len IS NULL")
@@ -125,11 +142,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
     occurring = (rows.where("len IS NOT NULL")
                  .select("key", "len", F.expr("inline(transform(sequence(lo, hi), "
                                               "s -> struct(s, concat_ws(' ', slice(near, s - lo + 1, len)) AS win)))"))
-                 .distinct().join(F.broadcast(wins) if small else wins, ["win", "len"]))
+                 .distinct().join(F.broadcast(wins) if few else wins, ["win", "len"]))
     hit = (occurring.select("key", F.explode(F.expr("sequence(s, s + len - 1)")).alias("word")).distinct()
            .groupBy("key").agg(F.count("*").alias("n_hit")))
     listed = (occurring.select("key", "win").distinct()
-              .join(F.broadcast(windows) if small else windows, "win").where("id IS NOT NULL")
+              .join(F.broadcast(windows) if few else windows, "win").where("id IS NOT NULL")
               .select("key", F.col("id").cast("string").alias("item")).distinct()
               .groupBy("key").agg(F.array_sort(F.collect_list("item")).alias("items")))
     # One narrow row per hit text, broadcast if counted few: then no document is

@@ -72,7 +72,7 @@ def test_empty_tables(spark):
 
 def test_no_python_in_the_plan(spark):
     d = spark.createDataFrame([(1, "x y")], "doc_id long, text string")
-    plan = decontaminate._hashed(decontaminate.tokenized(d, "doc_id", "text"), 10, [3])._jdf.queryExecution().toString()
+    plan = decontaminate._hashed(decontaminate.stretches(decontaminate.tokenized(d, "doc_id", "text"), 10), 10, [3])._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
 
@@ -80,3 +80,23 @@ def test_lower_case_only_ascii(spark):
     rows = ["ABC xyz", "ÀB\u212a İΣ", None, ""]
     df = spark.createDataFrame([(r,) for r in rows], "t string").select(common.ascii_lower(__import__("pyspark").sql.functions.col("t")))
     assert [r[0] for r in df.collect()] == ["abc xyz", "Àb\u212a İΣ", None, ""]
+
+
+@pytest.mark.parametrize("stretch", [7, 64])
+def test_short_stretches_change_nothing(spark, monkeypatch, stretch):
+    monkeypatch.setattr(decontaminate, "STRETCH", stretch)
+    test_equals_brute_force(spark, monkeypatch, 10, False)
+    test_equals_brute_force(spark, monkeypatch, 4, True)
+
+
+def test_long_texts_wholly_hit(spark):
+    """60,000 hit words in one text; 300,000 in one without a hit."""
+    item = " ".join(f"w{i}" for i in range(500))
+    clean = "x y z " * 100_000
+    out = run(spark, [(1, f"{item} " * 120), (2, clean), (3, clean + " ".join(f"w{i}" for i in range(10)))], [(7, item)], 10)
+    assert out == [(1, 60_000, 60_000, 1, ("7",), True), (2, 300_000, 0, 0, (), False), (3, 300_010, 10, 1, ("7",), True)]
+
+
+def test_wide_sides_are_not_broadcast(spark):
+    df = spark.createDataFrame([(1, "x" * 3000, ["y" * 3000])], "a long, b string, c array<string>")
+    assert common.small(df, 1, 7000) and not common.small(df, 1, 5900) and not common.small(df.union(df), 1) and common.small(df.limit(0), 0, 0)
