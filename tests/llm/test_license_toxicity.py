@@ -79,7 +79,7 @@ def labelled(spark):
 def test_held_out_labels(labelled):
     docs, labels = labelled
     chain = toxicity.train(docs, labels.where("doc_id % 2 = 0").select("doc_id", "toxic"), toxicity.document_chain())
-    # In the other languages the table's toxic marks follow no word of the text.
+    # With so few labels only English words are frequent enough to be learned.
     held = (toxicity.predict(docs.where("lang = 'en'"), chain).join(labels.where("doc_id % 2 = 1"), "doc_id")
             .selectExpr(f"p_toxic >= {chain.threshold} AS said", "toxic = 1 AS truth").toPandas())
     assert (held.said & ~held.truth).sum() <= 2
@@ -123,6 +123,58 @@ def test_held_out_labels_of_every_language(spark):
         assert hits >= 0.85 * own.said.sum(), lang
 
 
+def test_null_and_foreign_labels_train_nothing(spark, labelled):
+    """Unmarked toxic documents are no negatives; labels without a document take no place in the sample."""
+    docs, labels = labelled
+    marked = labels.select("doc_id", "toxic")
+    half = marked.withColumn("toxic", F.expr("if(toxic = 1 AND doc_id % 3 > 0, NULL, toxic)"))
+    foreign = spark.range(10 ** 9, 10 ** 9 + 3000).selectExpr("id AS doc_id", "cast(0 AS int) AS toxic")
+    want = toxicity.train(docs, half.where("toxic IS NOT NULL"), toxicity.document_chain())
+    found = toxicity.train(docs, half.unionByName(foreign), toxicity.document_chain(), max_train=half.where("toxic IS NOT NULL").count())
+    assert found.vocabulary == want.vocabulary and found.threshold == want.threshold
+    assert all((a == b).all() for a, b in zip(found.weights, want.weights))
+    assert not toxicity.train(docs, marked.withColumn("toxic", F.lit(None).cast("int")), toxicity.document_chain()).weights
+
+
+def test_an_id_with_several_texts_trains_once(spark):
+    texts = [(i, f"calm words of day {i}") for i in range(60)] + [(i, f"zzvile zzrude {i}") for i in range(100, 130)]
+    docs = spark.createDataFrame(texts + [(1, f"another text {i}") for i in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in texts] + [(1, 0), (101, 0), (None, 1)], "doc_id long, toxic int")
+    chain = toxicity.train(docs, labels, toxicity.document_chain())
+    assert {"zzvile", "zzrude"} <= set(chain.vocabulary) and "another" not in chain.vocabulary
+    said = chain.predict(["zzvile zzrude person", "calm words"])[:, -1]
+    assert said[0] > chain.threshold > said[1]
+
+
+def test_fit_equals_dense_newton():
+    rng = np.random.default_rng(0)
+    x = (rng.random((3000, 12)) < 0.2).astype(float)
+    y = (rng.random(3000) < toxicity.sigmoid(x @ rng.normal(0, 2, 12) - 1)).astype(float)
+    starts = np.append(0, np.cumsum(x.sum(1))).astype(np.int64)
+    times = rng.integers(1, 4, 3000).astype(float)
+    design = toxicity.Design(starts, np.nonzero(x)[1], 12, times, np.zeros((3000, 0), np.float32))
+    w = design.fit(np.arange(3000), y)
+    full = np.column_stack([np.ones(3000), x])
+    ridge = np.append(1e-3, np.full(12, toxicity.RIDGE))
+    assert np.abs(full.T @ (times * (y - toxicity.sigmoid(full @ w))) - ridge * w).max() < 1e-2
+
+
+def test_near_copies_equal_components(spark):
+    rnd = random.Random(4)
+    prints = [rnd.getrandbits(64) for _ in range(300)]
+    prints += [p ^ sum(1 << b for b in rnd.sample(range(64), rnd.randrange(5))) for p in prints for _ in range(2)]
+    signed = sorted({p - (p >> 63 << 64) for p in prints})
+    root = {p: p for p in signed}
+    for a in signed:
+        for b in signed:
+            if bin((a ^ b) & (2 ** 64 - 1)).count("1") <= 3 and root[a] != root[b]:
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = {k: new if v == old else v for k, v in root.items()}
+    df = spark.createDataFrame([(p,) for p in signed], "fp long").repartition(4)
+    assert {r.fp: r.root for r in toxicity.near_copies(df, 3).collect()} == root
+    assert toxicity.near_copies(df.limit(0), 3).count() == 0
+
+
 def test_stems():
     assert toxicity.stems(["abcdx", "abcdy", "abz", "ab"]) == {"abc*", "abcd*"}
     assert toxicity.stems(["abcdx", "abcdy", "xyz1", "xyz2"], frozenset(["xyz"])) == {"xyz*"}
