@@ -26,7 +26,7 @@ ROW = "_pipeline_row"
 
 def with_row_key(docs: DataFrame) -> DataFrame:
     """``docs`` and a string that names a row: keys sort by doc_id, null last."""
-    number = F.col("doc_id").cast("decimal(20,0)") + F.lit(1 << 63).cast("decimal(20,0)")
+    number = F.col("doc_id").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")
     shown = F.coalesce(F.lpad(number.cast("decimal(20,0)").cast("string"), 20, "0"), F.lit("~"))
     return docs.withColumn(ROW, F.concat_ws(":", shown, F.coalesce(F.sha2("text", 256), F.lit("~"))))
 
