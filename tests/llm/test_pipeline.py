@@ -5,6 +5,7 @@ import pandas as pd
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -15,7 +16,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_all_operators_are_registered():
     names = entry.queries()
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in names)] == [] and "pipeline" in names
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in names)] == [] and "pipeline" in names
 
 
 def test_stages_keep_clean_documents(spark):
@@ -46,6 +47,40 @@ def test_stages_keep_clean_documents(spark):
     assert all(counts[r.doc_id] == len(library.encode_ordinary(r.text or "")) for r in third.collect())
 
 
+def test_decisions_hold_for_rows(spark):
+    """Rejected rows without an id go; of one id's texts only the rejected goes; extra columns stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    toxic = docs.join(spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 1"), "doc_id", "left_semi").where("lang = 'en'").orderBy("doc_id").first().text
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    long = " ".join(f"word{i}" for i in range(80))
+    big = 10 ** 9
+    rows = [(None, toxic), (big, toxic), (big, "a calm text about gardens and bread"), (None, f"so {bench} it"), (big + 1, f"so {bench} it"),
+            (big + 1, "another calm text, about rivers"), (None, long), (big + 2, long), (big + 2, long), (None, "alone and calm"), (None, "alone and calm")]
+    planted = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], docs.schema)
+    wider = docs.unionByName(planted).withColumn("p_toxic", F.lit("x")).withColumn("fp", F.lit(1)).withColumn("n_hit", F.lit(None).cast("int"))
+    stages, texts = dict(corpus_pipeline.STAGES), lambda df: sorted(
+        ((r.doc_id, r.text) for r in df.where(f"doc_id IS NULL OR doc_id >= {big}").collect()), key=str)
+    left = rows
+    gone = {"toxicity": {(None, toxic), (big, toxic)}, "near_duplicates": {(None, long)}, "decontamination": {(None, f"so {bench} it"), (big + 1, f"so {bench} it")}}
+    for name in ("toxicity", "near_duplicates", "decontamination"):
+        wider = stages[name](spark, wider, SF)
+        assert wider.columns == [*docs.columns, "p_toxic", "fp", "n_hit"]
+        left = [r for r in left if r not in gone[name]]
+        if name == "near_duplicates":  # equal rows count once; the copies of a passage with different ids are one group
+            left = sorted(set(left) - {(None, f"so {bench} it")}, key=str)
+        assert texts(wider) == sorted(left, key=str), name
+
+
+def test_stages_on_empty_tables(spark, tmp_path):
+    for t in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
+    for name, stage in corpus_pipeline.STAGES:
+        if name != "near_duplicates":
+            assert stage(spark, docs, str(tmp_path)).count() == 20, name
+
+
 @pytest.mark.parametrize("name", sorted(n for n in entry.oracle_sql() if n.startswith("op")))
 def test_oracle(spark, name):
     con = duckdb.connect()
