@@ -32,7 +32,7 @@ from citystream.llm.common import map_rows, worker_store
 from citystream.session import prepare
 
 #: Pieces remembered by a worker, and the longest remembered.
-CACHE_PIECES, CACHE_CHARS = 800_000, 32
+CACHE_PIECES, CACHE_CHARS = 400_000, 32
 #: Characters whose pieces are held and merged at a time (or one text).
 STRETCH = 1 << 20
 
@@ -188,14 +188,15 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[bytes]:
         split = [self.split(t) for t in texts]
         known = self.known
-        made = self._learn(set().union(*split).difference(known))
+        met = set().union(*split)
+        made = self._learn(met.difference(known))
         known.update(made)
         out = [b"".join(map(known.__getitem__, pieces)) for pieces in split]
         for p in made:
             if len(p) > CACHE_CHARS:
                 del known[p]
         if len(known) > CACHE_PIECES:
-            known.clear()
+            self.known = {p: known[p] for p in met if p in known}
         return out
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:

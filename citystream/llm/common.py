@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +64,11 @@ _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolea
           "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}
 
 
+def sliced(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts of few rows, so that few texts are Python objects at a time."""
+    return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+
+
 def map_rows(df: DataFrame, keep: list[str], value_col: str, make: Callable[[], Callable], schema: str) -> DataFrame:
     """The ``keep`` columns of ``df`` untouched, then the columns of ``schema``
     ("name type, ..."): ``make()`` runs once per task and gives a function from
@@ -75,7 +81,7 @@ def map_rows(df: DataFrame, keep: list[str], value_col: str, make: Callable[[],
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = make()
-        for batch in batches:
+        for batch in chain.from_iterable(map(sliced, batches)):
             made = rows(batch.column(len(keep)).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(keep)], *(pa.array(made[n], t) for n, t in types.items())],

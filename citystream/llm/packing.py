@@ -37,6 +37,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,14 +46,14 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from citystream.llm.bpe import with_ranges
-from citystream.llm.common import cut, worker_store
+from citystream.llm.common import cut, sliced, worker_store
 from citystream.session import prepare
 
 #: Pieces of a shard; groups of large lengths; the parts of a sequence up to which a length is
 #: small, and over which an empty rest undoes a filled configuration.
 SHARD, GROUPS, SMALL, LOOSE = 20_000, 48, 1 / 8, 1 / 512
 #: Words remembered by a worker, and the longest remembered.
-CACHE_WORDS, CACHE_CHARS = 800_000, 32
+CACHE_WORDS, CACHE_CHARS = 400_000, 32
 #: Characters whose words are held at a time (or one text).
 STRETCH = 1 << 20
 
@@ -111,7 +112,8 @@ class WordEncoder:
             else:
                 split.append((i, self.words(text.lower())))
         known = self.known
-        made = self._learn(set().union(*(ws for _, ws in split)).difference(known))
+        met = set().union(*(ws for _, ws in split))
+        made = self._learn(met.difference(known))
         known.update(made)
         for i, ws in split:
             out[i] = b"".join(map(known.__getitem__, ws))
@@ -119,7 +121,7 @@ class WordEncoder:
             if len(w) > CACHE_CHARS:
                 del known[w]
         if len(known) > CACHE_WORDS:
-            known.clear()
+            self.known = {w: known[w] for w in met if w in known}
         for i in whole:
             out[i] = np.array(self.library.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes()
         return out
@@ -134,7 +136,7 @@ def pieces(docs: DataFrame, model: str, size: int, end_id: int = 0, id_col: str
         kept = worker_store("word encoders")
         key = zlib.crc32(shared.value.encode()), len(shared.value)
         encoder = kept.get(key) or kept.setdefault(key, WordEncoder(shared.value))
-        for batch in batches:
+        for batch in chain.from_iterable(map(sliced, batches)):
             rows = array("q")
             for i, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
                 ids += tail

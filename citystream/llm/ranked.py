@@ -32,6 +32,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from citystream.llm.common import sliced
 from citystream.session import prepare, scratch_path
 
 #: Documents of a treap; bytes of item texts searched at a time.
@@ -138,7 +140,7 @@ def _counts(docs: DataFrame, id_col: str, text_col: str, vocabulary: dict[bytes,
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in chain.from_iterable(map(sliced, batches)):
             at, sizes, ends, terms, times = [], [], [0], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 found = terms_of(text)
