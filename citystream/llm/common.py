@@ -60,7 +60,7 @@ def ascii_lower(text):
         .otherwise(F.translate(text, UPPER, LOWER))
 
 
-_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(),
+ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(),
           "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}
 
 
@@ -76,7 +76,7 @@ def map_rows(df: DataFrame, keep: list[str], value_col: str, make: Callable[[],
     pass pandas, which would round large ones in columns with nulls."""
     prepare(df.sparkSession)
     fields = [c.split() for c in schema.split(", ")]
-    types = {name: _ARROW[kind] for name, kind in fields}
+    types = {name: ARROW[kind] for name, kind in fields}
     given = ", ".join(f"_{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,14 +26,16 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
+from contextlib import closing
+from itertools import chain
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citystream.llm.common import bounded
+from citystream.llm.common import ARROW, bounded, sliced
 from citystream.session import prepare, scratch_path
 
 #: Bytes of records in a frame, and compressed bytes of a bundle, after which the next one begins.
@@ -45,6 +47,13 @@ INDEX = "page_id long, bundle string, frame int, start long, length long"
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """``rows`` as Arrow columns, in which large ids stay exact beside nulls."""
+    fields = [c.split() for c in schema.split(", ")]
+    columns = zip(*rows) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(x, ARROW[kind]) for x, (_, kind) in zip(columns, fields)], names=[n for n, _ in fields])
+
+
 def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
@@ -139,6 +148,9 @@ class BundleReader:
     def record(self, frame: int, start: int, length: int) -> bytes:
         return self.frame(frame)[start:start + length]
 
+    def close(self) -> None:
+        self.file.close()
+
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                    min_bytes: int = 0, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
@@ -153,27 +165,24 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
              .select("sha", "first"))
     marked = (keyed.join(bounded(again), "sha", "left")
               .withColumn("revisit", F.expr("first IS NOT NULL AND NOT (page_id <=> first)"))
-              # As strings: pandas would round large ids in columns with nulls.
-              .select(F.col("page_id").cast("string"), "url", "html", F.col("first").cast("string"), "revisit"))
+              .select("page_id", "url", "html", "first", "revisit"))
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bundle = None
-        for pdf in batches:
+        for batch in chain.from_iterable(map(sliced, batches)):
             found = []
-            for page_id, url, html, first, revisit in zip(*(pdf[c].tolist() for c in pdf.columns)):
+            for own, url, html, other, revisit in zip(*(c.to_pylist() for c in batch.columns)):
                 if bundle is None or bundle.written >= BUNDLE:
                     if bundle:
                         bundle.close()
                     bundle = BundleWriter(folder)
-                own, other = (None if x is None else int(x) for x in (page_id, first))
                 found.append((own, bundle.name,
                               *bundle.add(record(own, url, html.encode(), other if revisit else None, revisit, date))))
-            out = pd.DataFrame(found, columns=["page_id", "bundle", "frame", "start", "length"])
-            yield out.astype({"page_id": "Int64"})
+            yield _batch(found, INDEX)
         if bundle:
             bundle.close()
 
-    marked.mapInPandas(work, INDEX).write.parquet(f"{folder}/index")
+    marked.mapInArrow(work, INDEX).write.parquet(f"{folder}/index")
     return spark.read.parquet(f"{folder}/index")
 
 
@@ -183,37 +192,45 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
     prepare(index.sparkSession)
     frames = index.groupBy("bundle", "frame").agg(F.sum("length").alias("plain"), F.count("*").alias("n"))
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, name = None, None
-        for pdf in batches:
-            for bundle, frame, plain, n in pdf.itertuples(index=False):
-                if bundle != name:
-                    reader, name = BundleReader(f"{folder}/{bundle}"), bundle
-                data, at, found = reader.frame(frame), 0, []
-                while at < len(data):
-                    head, http, payload, at = parse(data, at)
-                    response = head["WARC-Type"] == "response"
-                    own, other = (head.get(k, "<urn:page:>")[10:-1] for k in ("WARC-Record-ID", "WARC-Refers-To"))
-                    found.append((
-                        int(own) if own else None,
-                        len(payload) if response else int(http.rpartition(b"Content-Length: ")[2]),
-                        digest(payload) if response else head["WARC-Payload-Digest"][5:],
-                        head["WARC-Type"], int(other) if other else None))
-                if (len(data), len(found)) != (plain, n):
-                    raise ValueError(f"frame {frame} of {bundle} doesn't hold what the index says")
-                out = pd.DataFrame(found, columns=[c.split()[0] for c in RECORDS.split(", ")])
-                yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
+        try:
+            for batch in batches:
+                for bundle, frame, plain, n in zip(*(c.to_pylist() for c in batch.columns)):
+                    if bundle != name:
+                        if reader:
+                            reader.close()
+                        reader, name = BundleReader(f"{folder}/{bundle}"), bundle
+                    data, at, found = reader.frame(frame), 0, []
+                    while at < len(data):
+                        head, http, payload, at = parse(data, at)
+                        response = head["WARC-Type"] == "response"
+                        own, other = (head.get(k, "<urn:page:>")[10:-1] for k in ("WARC-Record-ID", "WARC-Refers-To"))
+                        found.append((
+                            int(own) if own else None,
+                            len(payload) if response else int(http.rpartition(b"Content-Length: ")[2]),
+                            digest(payload) if response else head["WARC-Payload-Digest"][5:],
+                            head["WARC-Type"], int(other) if other else None))
+                    if (len(data), len(found)) != (plain, n):
+                        raise ValueError(f"frame {frame} of {bundle} doesn't hold what the index says")
+                    yield _batch(found, RECORDS)
+        finally:
+            if reader:
+                reader.close()
 
     # The index is small, its frames aren't: a count of partitions that is kept, about 64 MB of records each.
     total = frames.agg(F.sum("plain")).first()[0] or 0
     parts = max(index.sparkSession.sparkContext.defaultParallelism, total >> 26)
-    return frames.repartition(parts, "bundle", "frame").sortWithinPartitions("bundle", "frame").mapInPandas(work, RECORDS)
+    return frames.repartition(parts, "bundle", "frame").sortWithinPartitions("bundle", "frame").mapInArrow(work, RECORDS)
 
 
 def read_record(spark: SparkSession, index: DataFrame, folder: str, page_id: int) -> list[bytes]:
     """The records of one id, each by one frame read (several if the id was repeated)."""
-    at = index.where(F.col("page_id") == page_id).collect()
-    return [BundleReader(f"{folder}/{r.bundle}").record(r.frame, r.start, r.length) for r in at]
+    found = []
+    for r in index.where(F.col("page_id") == page_id).collect():
+        with closing(BundleReader(f"{folder}/{r.bundle}")) as reader:
+            found.append(reader.record(r.frame, r.start, r.length))
+    return found
 
 
 def archive_round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:

@@ -48,3 +48,13 @@ def test_read_one_record(spark):
     index = warc.write_archives(df, folder)
     (data,) = warc.read_record(spark, index, folder, 33)
     assert warc.parse(data)[2] == b"text 33"
+
+
+def test_large_ids_beside_nulls_stay_exact(spark):
+    """Ids over 2^53, equal payloads and rows without an id in one frame."""
+    big = 2 ** 60
+    rows = [(big + 1, "u", "same"), (big + 3, "u", "same"), (None, "u", "same"), (big + 5, "u", "own"), (None, "u", "lone"), (7, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    out = sorted(((r.page_id, r.record_type, r.refers_to) for r in warc.archive_round_trip(df).collect()), key=str)
+    assert out == sorted([(big + 1, "revisit", big + 3), (big + 3, "response", None), (None, "revisit", big + 3), (big + 5, "response", None),
+                          (None, "response", None), (7, "response", None)], key=str)
