@@ -3,29 +3,32 @@
 Keyed state lives in Spark's state store (checkpointed, so a restarted
 query resumes with it). Within a micro-batch a key's rows are sorted by
 (event_time, event_id) before folding; across micro-batches arrival order
-holds, as in the original per-key stream processing. No timer consumes the
-watermark, so detectors never drop late rows.
+holds, as in the original per-key stream processing. The ``in_order`` forms
+hold rows until the watermark has passed them instead (``event_order.py``), so
+arrival disorder within its delay changes nothing. No detector drops late rows.
 """
 
 from __future__ import annotations
 
-import json
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from citystream.config import (BUNCHING_DISTANCE_M, BUNCHING_DURATION_SEC, BUS_BUNCHING, EARTH_RADIUS_M,
                                GRIDLOCK_CYCLES, GRIDLOCK_WAIT_SEC, TRAFFIC_GRIDLOCK)
 from citystream.functions.numeric import round_ratio
+from citystream.functions.timefn import epoch_millis
+from citystream.operators.bunching import Grid
 from citystream.session import prepare
+from citystream.streaming.event_order import NO_TIME, in_event_order
 
 GRIDLOCK_OUT = ("incident_type string, junction_id string, zone string, avg_wait_sec double, "
                 "consecutive_cycles int, detected_from_timestamp string, event_time timestamp, event_id long")
-BUNCHING_RAW = ("route_id string, bus_a string, bus_b string, dist double, elapsed_ms long, "
-                "detected_from_timestamp string, event_time timestamp, event_id long")
 
 
 def _sorted(pdfs) -> pd.DataFrame:
@@ -33,6 +36,16 @@ def _sorted(pdfs) -> pd.DataFrame:
     return pdf.sort_values(["event_time", "event_id"], na_position="first", kind="stable")
 
 
+def _streaks(over: np.ndarray, carry: int, cycles: int) -> tuple[np.ndarray, int]:
+    """Which rows alert, and the streak left. Run position = rows since the last
+    calm row; a run still open from before continues the carried streak."""
+    idx = np.arange(1, len(over) + 1)
+    last_calm = np.maximum.accumulate(np.where(~over, idx, 0))
+    pos = idx - last_calm + np.where(last_calm == 0, carry, 0)
+    end = int(pos[-1]) if len(over) and over[-1] else 0
+    return over & (pos % cycles == 0), end % cycles
+
+
 def gridlock_stream(signals: DataFrame, wait_sec: float = GRIDLOCK_WAIT_SEC,
                     cycles: int = GRIDLOCK_CYCLES) -> DataFrame:
     """T4: per junction a ValueState streak counter (reset on a calm cycle
@@ -40,18 +53,10 @@ def gridlock_stream(signals: DataFrame, wait_sec: float = GRIDLOCK_WAIT_SEC,
     a vectorised run position, so alerts fall on multiples of ``cycles``."""
 
     def step(key, pdfs, state):
-        carry = state.get[0] if state.exists else 0
         pdf = _sorted(pdfs)
         wait = pdf["avg_wait_sec"].fillna(0.0).to_numpy(float)
-        over = wait > wait_sec
-        idx = np.arange(1, len(pdf) + 1)
-        # Run position = rows since the last calm row; a run still open from
-        # the previous micro-batch continues the carried streak.
-        last_calm = np.maximum.accumulate(np.where(~over, idx, 0))
-        pos = idx - last_calm + np.where(last_calm == 0, carry, 0)
-        hit = over & (pos % cycles == 0)
-        end = int(pos[-1]) if len(pdf) and over[-1] else 0
-        state.update((end % cycles,))
+        hit, end = _streaks(wait > wait_sec, state.get[0] if state.exists else 0, cycles)
+        state.update((end,))
         out = pdf.loc[hit]
         yield pd.DataFrame({
             "incident_type": TRAFFIC_GRIDLOCK, "junction_id": out["junction_id"], "zone": out["zone"],
@@ -72,87 +77,197 @@ def _distances(lat1, lon1, lat2, lon2) -> np.ndarray:
     return 2.0 * EARTH_RADIUS_M * np.arcsin(np.sqrt(np.minimum(1.0, chord)))
 
 
-def _pair_alerts(ts: np.ndarray, close: np.ndarray, timer: int | None, d: int) -> tuple[list, int | None]:
-    """(observation, elapsed) of one pair's alerts, and the timer afterwards.
-    Each stretch of close observations is searched from alert to alert."""
-    out, at, ends = [], 0, np.append(np.flatnonzero(~close), len(ts))
-    for end in ends.tolist():
-        if at < end:
-            timer = int(ts[at]) if timer is None else timer
-            while (at := at + int(np.searchsorted(ts[at:end], timer + d, "right"))) < end:
-                out.append((at, int(ts[at]) - timer))
-                timer = int(ts[at])
-        if end < len(ts):
-            timer = None
-        at = end + 1
-    return out, timer
-
-
-def _route_step(rows: pd.DataFrame, state: dict, limit: float, d: int, ttl_ms: int | None) -> tuple[list, dict]:
-    """Alerts (row, bus_a, bus_b, dist, elapsed) of a route's sorted rows, and
-    the new state: ``pos`` bus -> (lat, lon, last ts), ``pairs`` [a, b, timer].
-    One pass per pair of buses of which one reports, over arrays."""
-    ts = np.where(rows["event_time"].isna(), 0, rows["event_time"].astype("int64") // 1000)
-    ts = (ts / 1e6 * 1000.0).astype(np.int64)
-    lat, lon = rows["lat"].to_numpy(float), rows["lon"].to_numpy(float)
-    events = {b: np.asarray(i) for b, i in rows.groupby("bus_id", sort=False).indices.items()}
-    pos = {b: tuple(v) for b, v in state["pos"].items()}
-    timers = {(a, b): t for a, b, t in state["pairs"]}
-    hits, none = [], np.empty(0, np.int64)
-
-    def where(bus: str, at: np.ndarray):
-        """The bus's position at the rows ``at``; nan before its first report."""
-        own = events.get(bus, none)
-        k = np.searchsorted(own, at, "right") - 1
-        first = pos.get(bus, (np.nan, np.nan))
-        return tuple(np.where(k >= 0, v[own[np.maximum(k, 0)]] if len(own) else np.nan, first[c])
-                     for c, v in enumerate((lat, lon)))
-
-    buses = sorted(events.keys() | pos.keys())
-    for i, a in enumerate(buses):
-        for b in buses[i + 1:]:
-            at = np.union1d(events.get(a, none), events.get(b, none))
-            if not len(at):
-                continue
-            dist = _distances(*where(a, at), *where(b, at))
-            at, dist = at[~np.isnan(dist)], dist[~np.isnan(dist)]
-            found, timer = _pair_alerts(ts[at], dist <= limit, timers.pop((a, b), None), d)
-            hits += [(int(at[k]), a, b, float(dist[k]), elapsed) for k, elapsed in found]
-            if timer is not None:
-                timers[a, b] = timer
-    pos |= {b: (float(lat[i[-1]]), float(lon[i[-1]]), int(ts[i[-1]])) for b, i in events.items()}
-    if ttl_ms is not None and len(ts):
-        pos = {b: v for b, v in pos.items() if v[2] >= int(ts.max()) - ttl_ms}
-        timers = {p: t for p, t in timers.items() if p[0] in pos and p[1] in pos}
-    return sorted(hits), {"pos": pos, "pairs": [[a, b, t] for (a, b), t in timers.items()]}
-
-
-def bunching_stream(gps: DataFrame, distance_m: float = BUNCHING_DISTANCE_M,
-                    duration_sec: int = BUNCHING_DURATION_SEC, ttl_sec: int | None = None) -> DataFrame:
-    """T5: per route the latest position of every bus and the start time of
-    every close pair. State size is bounded by the route's fleet (buses + close
-    pairs), not by the event volume. With ``ttl_sec`` (D13) a bus silent for
-    longer than that, against the route's newest event, is forgotten with its
-    timers; by default state never expires, as in the rule."""
-    d, ttl_ms = int(duration_sec) * 1000, None if ttl_sec is None else int(ttl_sec) * 1000
+class Streak(StatefulProcessor):
+    """Per junction a ValueState streak counter, over rows in event order."""
 
-    def step(key, pdfs, state):
-        st = json.loads(state.get[0]) if state.exists else {"pos": {}, "pairs": []}
-        rows = _sorted(pdfs).dropna(subset=["bus_id", "lat", "lon"]).reset_index(drop=True)
-        hits, st = _route_step(rows, st, distance_m, d, ttl_ms)
-        state.update((json.dumps(st),))
-        at = rows.iloc[[h[0] for h in hits]].reset_index(drop=True)
-        found = pd.DataFrame([h[1:] for h in hits], columns=["bus_a", "bus_b", "dist", "elapsed_ms"])
-        yield pd.DataFrame({
-            "route_id": at["route_id"], **{c: found[c] for c in found}, "detected_from_timestamp": at["timestamp"],
-            "event_time": at["event_time"], "event_id": at["event_id"].astype("int64")})
+    def __init__(self, wait_sec: float, cycles: int):
+        self.wait_sec, self.cycles = wait_sec, cycles
+
+    def init(self, handle) -> None:
+        self.streak = handle.getValueState("streak", "streak int")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["turn", "us", "event_id"], kind="stable")
+        carry = self.streak.get()
+        hit, end = _streaks(pdf["avg_wait_sec"].fillna(0.0).to_numpy(float) > self.wait_sec, carry[0] if carry else 0, self.cycles)
+        self.streak.update((end,))
+        yield pdf.loc[hit, ["junction_id", "zone", "avg_wait_sec", "timestamp", "us", "event_id"]]
+
+    def close(self) -> None:
+        pass
+
+
+def gridlock_in_order(signals: DataFrame, wait_sec: float = GRIDLOCK_WAIT_SEC, cycles: int = GRIDLOCK_CYCLES) -> DataFrame:
+    """T4 over event time (T2): as :func:`gridlock_stream`, but a junction's
+    cycles are counted in event-time order whatever order they arrive in, once
+    the watermark has passed them. ``signals`` needs a watermark."""
+    prepare(signals.sparkSession)
+    rows = signals.withColumn("_key", F.coalesce("junction_id", F.lit("UNKNOWN")))
+    ordered = in_event_order(rows, ["_key"], ["junction_id", "zone", "avg_wait_sec", "timestamp"], [], True, "gridlock_order")
+    hits = ordered.groupBy("_key").transformWithStateInPandas(
+        Streak(wait_sec, cycles), "junction_id string, zone string, avg_wait_sec double, timestamp string, us long, event_id long",
+        "append", "none")
+    return hits.select(F.lit(TRAFFIC_GRIDLOCK).alias("incident_type"), "junction_id", "zone", "avg_wait_sec",
+                       F.lit(cycles).alias("consecutive_cycles"), F.col("timestamp").alias("detected_from_timestamp"),
+                       _event_time(), "event_id")
+
+
+def _event_time():
+    return F.when(F.col("us") > NO_TIME, F.timestamp_micros("us")).alias("event_time")
+
+
+class CellNeighbours(StatefulProcessor):
+    """T5, Y2: per (route, grid cell) a MapState of the buses whose latest
+    position lies there. A row is a bus's event that may meet them (``probe``),
+    that brings the bus here (``own``) or takes it away. Emits the pair's close
+    observations, each with the order of the pair's previous observation: the
+    later of this bus's previous event and the other's latest one."""
+
+    OUT = ("route_id string, bus_a string, bus_b string, dist double, turn long, us long, event_id long, ms long, "
+           "timestamp string, q_turn long, q_us long, q_id long")
 
+    def __init__(self, limit: float, ttl_ms: int | None):
+        self.limit, self.ttl_ms = limit, ttl_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.buses = handle.getMapState("buses", "bus_id string", "lat double, lon double, turn long, us long, id long, ms long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["turn", "us", "event_id"], kind="stable")
+        there = {k[0]: tuple(v) for k, v in self.buses.iterator()}
+        place = {b: i for i, b in enumerate(there)}
+        names = list(there)
+        # Coordinates and times by place; nan for a bus that has left.
+        grown = len(names) + len(pdf)
+        at = np.full((grown, 2), np.nan)
+        seen = np.zeros(grown, np.int64)
+        for b, i in place.items():
+            at[i], seen[i] = there[b][:2], there[b][5]
+        changed, out = set(), []
+        columns = ["bus_id", "lat", "lon", "turn", "us", "event_id", "ms", "probe", "own", "p_turn", "p_us", "p_event_id", "route_id", "timestamp"]
+        for bus, lat, lon, turn, us, event, ms, probe, own, p_turn, p_us, p_id, route, text in zip(*(pdf[c].tolist() for c in columns)):
+            if probe and names:
+                n = len(names)
+                dist = _distances(lat, lon, at[:n, 0], at[:n, 1])
+                near = dist <= self.limit
+                if self.ttl_ms is not None:
+                    near &= seen[:n] >= ms - self.ttl_ms
+                for i in np.flatnonzero(near).tolist():
+                    other = names[i]
+                    if other != bus:
+                        before = max((p_turn, p_us, p_id) if p_turn >= 0 else (-1, NO_TIME, -1), there[other][2:5])
+                        a, b = (bus, other) if bus < other else (other, bus)
+                        out.append((route, a, b, float(dist[i]), turn, us, event, ms, text, *before))
+            if own:
+                if bus not in place:
+                    place[bus] = len(names)
+                    names.append(bus)
+                at[place[bus]], seen[place[bus]] = (lat, lon), ms
+                there[bus] = (lat, lon, turn, us, event, ms)
+                changed.add(bus)
+            elif bus in there:
+                at[place[bus]] = np.nan
+                del there[bus]
+                changed.add(bus)
+        for bus in changed:
+            if bus in there:
+                self.buses.updateValue((bus,), there[bus])
+            elif self.buses.containsKey((bus,)):
+                self.buses.removeKey((bus,))
+        if self.ttl_ms is not None and there:
+            self.handle.registerTimer(max(0, min(v[5] for v in there.values())) + self.ttl_ms + 1)
+        if out:
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in self.OUT.split(", ")])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() - self.ttl_ms
+        there = {k[0]: v[5] for k, v in self.buses.iterator()}
+        for bus, ms in there.items():
+            if ms < passed:
+                self.buses.removeKey((bus,))
+        left = [ms for ms in there.values() if ms >= passed]
+        if left:
+            self.handle.registerTimer(min(left) + self.ttl_ms + 1)
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+class PairTimer(StatefulProcessor):
+    """Per pair of buses the timer of its run of close observations and
+    its last one. A run goes on if the pair's previous observation was that one."""
+
+    def __init__(self, d: int, ttl_ms: int | None):
+        self.d, self.ttl_ms = d, ttl_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.run = handle.getValueState("run", "timer long, turn long, us long, id long, ms long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["turn", "us", "event_id"], kind="stable").reset_index(drop=True)
+        timer, *last, seen = self.run.get() or (0, None, None, None, 0)
+        last, hits, elapsed = tuple(last), [], []
+        for i, (turn, us, event, ms, *before) in enumerate(zip(*(pdf[c].tolist() for c in ("turn", "us", "event_id", "ms", "q_turn", "q_us", "q_id")))):
+            if tuple(before) != last or (self.ttl_ms is not None and ms - seen > self.ttl_ms):
+                timer = ms
+            elif ms - timer > self.d:
+                hits.append(i)
+                elapsed.append(ms - timer)
+                timer = ms
+            last, seen = (turn, us, event), ms
+        self.run.update((timer, *last, seen))
+        if self.ttl_ms is not None:
+            self.handle.registerTimer(max(0, seen) + self.ttl_ms + 1)
+        if hits:
+            yield pdf.loc[hits, ["route_id", "bus_a", "bus_b", "dist", "us", "event_id", "timestamp"]].assign(elapsed_ms=elapsed)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        run = self.run.get()
+        if run is not None and run[4] < timerValues.getCurrentWatermarkInMs() - self.ttl_ms:
+            self.run.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def bunching_stream(gps: DataFrame, distance_m: float = BUNCHING_DISTANCE_M, duration_sec: int = BUNCHING_DURATION_SEC,
+                    ttl_sec: int | None = None, in_order: bool = False) -> DataFrame:
+    """T5: three keyed operators in one query, none of which holds a route.
+
+    By bus: the previous event, and with ``in_order`` (and a watermark on
+    ``gps``) event-time order whatever order rows arrive in; else arrival order.
+    By route and grid cell: the buses there; an event meets those of its own and
+    the neighbouring cells only (the grid of the batch operator, exact bounds).
+    By pair: the timer. State is one row per bus and cell it stands in and per
+    pair that has been close, spread over all tasks, whatever the size of a route.
+
+    With ``ttl_sec`` (D13; ``gps`` then needs a watermark) a position older than
+    that isn't met and a pair not seen close for longer begins anew; event-time
+    timers remove both. By default state never expires, as in the rule."""
     prepare(gps.sparkSession)
-    rows = gps.select(F.coalesce("route_id", F.lit("UNKNOWN")).alias("_rk"), "route_id", "bus_id", "lat", "lon",
-                      "timestamp", "event_time", "event_id")
-    raw = rows.groupBy("_rk").applyInPandasWithState(
-        step, BUNCHING_RAW, "state string", "append", GroupStateTimeout.NoTimeout)
-    return raw.select(F.lit(BUS_BUNCHING).alias("incident_type"), "route_id", "bus_a", "bus_b",
-                      F.round("dist", 1).alias("distance_m"),
-                      round_ratio(F.col("elapsed_ms"), 60000, 1).alias("minutes_close"),
-                      "detected_from_timestamp", "event_time", "event_id")
+    d, ttl_ms = int(duration_sec) * 1000, None if ttl_sec is None else int(ttl_sec) * 1000
+    rows = (gps.where("bus_id IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL")
+            .withColumn("_rk", F.coalesce("route_id", F.lit("UNKNOWN"))).withColumn("ms", F.coalesce(epoch_millis("event_time"), F.lit(0).cast("long"))))
+    ordered = in_event_order(rows, ["_rk", "bus_id"], ["route_id", "lat", "lon", "ms", "timestamp"], ["lat", "lon"], in_order, "bunching_order")
+    grid, mode = Grid(distance_m), "none" if ttl_ms is None else "eventTime"
+    spots = (ordered.withColumn("own_cell", grid.own_cell(F.col("lat"), F.col("lon")))
+             .withColumn("near", grid.neighbour_cells(F.col("lat"), F.col("lon")))
+             .withColumn("left_cell", F.when(F.col("p_turn") >= 0, grid.own_cell(F.col("p_lat"), F.col("p_lon"))))
+             .withColumn("cell", F.explode(F.array_union("near", F.array_compact(F.array("own_cell", "left_cell")))))
+             .withColumn("probe", F.array_contains("near", F.col("cell"))).withColumn("own", F.col("cell") == F.col("own_cell"))
+             # What a null looks like in pandas is no matter: these are read only where p_turn >= 0.
+             .fillna(NO_TIME, ["p_us"]).fillna(-1, ["p_event_id"])
+             .select("_rk", F.col("cell.band").alias("band"), F.col("cell.lc").alias("lc"), "route_id", "bus_id", "lat", "lon", "us", "event_id",
+                     "ms", "timestamp", "turn", "probe", "own", "p_turn", "p_us", "p_event_id"))
+    close = spots.groupBy("_rk", "band", "lc").transformWithStateInPandas(CellNeighbours(distance_m, ttl_ms), CellNeighbours.OUT, "append", mode)
+    alerts = (close.withColumn("_rk", F.coalesce("route_id", F.lit("UNKNOWN"))).groupBy("_rk", "bus_a", "bus_b")
+              .transformWithStateInPandas(PairTimer(d, ttl_ms), "route_id string, bus_a string, bus_b string, dist double, us long, event_id long, "
+                                          "timestamp string, elapsed_ms long", "append", mode))
+    return alerts.select(F.lit(BUS_BUNCHING).alias("incident_type"), "route_id", "bus_a", "bus_b",
+                         F.round("dist", 1).alias("distance_m"),
+                         round_ratio(F.col("elapsed_ms"), 60000, 1).alias("minutes_close"),
+                         F.col("timestamp").alias("detected_from_timestamp"), _event_time(), "event_id")

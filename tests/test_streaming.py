@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import os
 
+import models
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -296,15 +297,87 @@ def test_detectors_resume_from_their_checkpoints(spark, tmp):
         assert _rows(spark.read.parquet(out), cols) == _rows(want, cols)
 
 
-def test_route_step_forgets_silent_buses():
-    rows = pd.DataFrame({"bus_id": ["a", "b"], "lat": [0.0, 0.0], "lon": [0.0, 0.0], "event_time": pd.to_datetime([0, 1], unit="s")})
-    step = lambda rows, state, ttl: stateful._route_step(rows, state, 200, 300_000, ttl)
-    _, state = step(rows, {"pos": {}, "pairs": []}, None)
-    assert state["pairs"] == [["a", "b", 1000]] and set(state["pos"]) == {"a", "b"}
-    later = rows.iloc[1:].assign(event_time=pd.to_datetime([1000], unit="s")).reset_index(drop=True)
-    hits, kept = step(later, state, None)
-    assert [h[1:3] + h[4:] for h in hits] == [("a", "b", 999_000)] and set(kept["pos"]) == {"a", "b"}
-    assert set(step(later, state, 600_000)[1]["pos"]) == {"b"}
+GPS_JSON = "route_id string, bus_id string, lat double, lon double, timestamp string, event_time timestamp, event_id long"
+
+
+def _gps_files(spark, folder, batches):
+    """One JSON file per batch of (bus, lat, lon, seconds, event_id), all of one route."""
+    os.makedirs(folder, exist_ok=True)
+    for i, rows in enumerate(batches):
+        path = os.path.join(folder, f"part-{i:04d}.json")
+        times = pd.to_datetime([r[3] for r in rows], unit="s").strftime("%Y-%m-%dT%H:%M:%S.%f")
+        pd.DataFrame({"route_id": "R1", "bus_id": [r[0] for r in rows], "lat": [r[1] for r in rows], "lon": [r[2] for r in rows],
+                      "timestamp": times, "event_time": times, "event_id": [r[4] for r in rows]}).to_json(path, orient="records", lines=True)
+        os.utime(path, (1_700_000_000 + 10 * i, 1_700_000_000 + 10 * i))
+    return spark.readStream.schema(GPS_JSON).option("maxFilesPerTrigger", 1).json(folder)
+
+
+def test_silent_buses_are_forgotten(spark, tmp):
+    """Without a TTL the pair's timer outlives a bus's silence; with one it doesn't."""
+    batches = [[("a", 0.0, 0.0, 0, 0), ("b", 0.0, 0.0, 1, 1)], [("b", 0.0, 0.0, 1000, 2)], [("a", 0.0, 0.0, 1001, 3), ("b", 0.0, 0.0, 1302, 4)], [("z", 9.0, 9.0, 9000, 5)]]
+    for ttl, want in ((None, [2, 4]), (600, [4])):
+        out = os.path.join(tmp, f"ttl_{ttl}")
+        gps = _gps_files(spark, os.path.join(tmp, f"in_{ttl}"), batches).withWatermark("event_time", "5 seconds")
+        collect_to(stateful.bunching_stream(gps, ttl_sec=ttl), out, f"ttl_{ttl}_{os.path.basename(tmp)}")
+        assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == want
+
+
+def _shuffled(rows, key, seconds, seed):
+    """Rows in an order in which none comes after one that is ``seconds`` or more ahead of it."""
+    import random
+    rnd = random.Random(seed)
+    return sorted(rows, key=lambda r: (key(r) + rnd.random() * seconds * 0.999, rnd.random()))
+
+
+def test_bunching_in_event_order_under_shuffled_arrival(spark, tmp):
+    """Disorder of up to 5 s, over a restart: alerts as of the ordered rows; a late row is counted and still used."""
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for i in range(1500):
+        bus, t = rnd.randrange(12), i * 2 + rnd.randrange(2)
+        spot = (bus // 3 + t // 900 * (bus % 2)) % 4  # near or at other buses for a quarter of an hour
+        rows.append((f"b{bus:02d}", 52.0 + spot * 0.0015, 13.0 + rnd.randrange(2) * 0.0005, t, i))
+    flush = ("far", 0.0, 0.0, 10_000, 99_999)
+    arrived = _shuffled(rows, lambda r: r[3], 5, 1) + [flush]
+    folder, out, name = os.path.join(tmp, "in"), os.path.join(tmp, "out"), f"ordered_{os.path.basename(tmp)}"
+    parts = [arrived[i:i + 400] for i in range(0, len(arrived), 400)]
+    late_counts = []
+    for n in (2, len(parts)):
+        stream = _gps_files(spark, folder, parts[:n])
+        q = collect_to(jobs.bunching_incidents(stream, in_order=True), out, name)
+        late_counts += [m["late"] for p in q.recentProgress if (m := (p.get("observedMetrics") or {}).get("bunching_order"))]
+    found = sorted((r.event_id, r.bus_a, r.bus_b) for r in spark.read.parquet(out).collect())
+    model = models.bunching([{"route_id": "R1", "bus_id": b, "lat": lat, "lon": lon, "ts_ms": t * 1000, "event_id": i}
+                             for b, lat, lon, t, i in sorted(rows, key=lambda r: (r[3], r[4]))])
+    assert len(model) > 100 and found == sorted(m[:3] for m in model) and not any(late_counts)
+
+    late = ("b00", 52.0, 13.0, 100, 100_000)
+    stream = _gps_files(spark, folder, [*parts, [late]])
+    q = collect_to(jobs.bunching_incidents(stream, in_order=True), out, name)
+    assert sum(m["late"] for p in q.recentProgress if (m := (p.get("observedMetrics") or {}).get("bunching_order"))) == 1
+
+
+def test_gridlock_in_event_order_under_shuffled_arrival(spark, tmp):
+    import random
+    rnd = random.Random(3)
+    rows = [(f"J{rnd.randrange(3)}", rnd.choice([100.0, 200.0, 250.0, None, 300.0]), i // 2, i) for i in range(900)]
+    arrived = _shuffled(rows, lambda r: r[2], 5, 2) + [("far", 0.0, 9_000, 99_999)]
+    folder, out = os.path.join(tmp, "in"), os.path.join(tmp, "out")
+    os.makedirs(folder)
+    for n, at in enumerate(range(0, len(arrived), 300)):
+        part = arrived[at:at + 300]
+        times = pd.to_datetime([r[2] for r in part], unit="s").strftime("%Y-%m-%dT%H:%M:%S.%f")
+        path = os.path.join(folder, f"part-{n}.json")
+        pd.DataFrame({"junction_id": [r[0] for r in part], "zone": "Z", "avg_wait_sec": [r[1] for r in part], "timestamp": times,
+                      "event_time": times, "event_id": [r[3] for r in part]}).to_json(path, orient="records", lines=True)
+        os.utime(path, (1_700_000_000 + 10 * n, 1_700_000_000 + 10 * n))
+    stream = spark.readStream.schema("junction_id string, zone string, avg_wait_sec double, timestamp string, event_time timestamp, event_id long") \
+        .option("maxFilesPerTrigger", 1).json(folder)
+    collect_to(jobs.gridlock_incidents(stream, in_order=True), out, f"gridlock_ordered_{os.path.basename(tmp)}")
+    want = models.gridlock([{"junction_id": j, "avg_wait_sec": w, "event_id": i} for j, w, _, i in rows])
+    got = sorted(r.event_id for r in spark.read.parquet(out).collect())
+    assert len(want) > 50 and got == sorted(want)
 
 
 def test_derived_topic_is_keyed(spark, tmp):
