@@ -116,9 +116,13 @@ def _event_time():
     return F.when(F.col("us") > NO_TIME, F.timestamp_micros("us")).alias("event_time")
 
 
+#: Cells of a block a side: few keys, few events that concern several.
+CELLS = 8
+
+
 class CellNeighbours(StatefulProcessor):
-    """T5, Y2: per (route, grid cell) a MapState of the buses whose latest
-    position lies there. A row is a bus's event that may meet them (``probe``),
+    """T5, Y2: per (route, block of grid cells) a MapState of the buses whose
+    latest position lies there. A row is a bus's event that may meet them (``probe``),
     that brings the bus here (``own``) or takes it away. Emits the pair's close
     observations, each with the order of the pair's previous observation: the
     later of this bus's previous event and the other's latest one."""
@@ -240,10 +244,11 @@ def bunching_stream(gps: DataFrame, distance_m: float = BUNCHING_DISTANCE_M, dur
 
     By bus: the previous event, and with ``in_order`` (and a watermark on
     ``gps``) event-time order whatever order rows arrive in; else arrival order.
-    By route and grid cell: the buses there; an event meets those of its own and
-    the neighbouring cells only (the grid of the batch operator, exact bounds).
-    By pair: the timer. State is one row per bus and cell it stands in and per
-    pair that has been close, spread over all tasks, whatever the size of a route.
+    By route and block of ``CELLS`` x ``CELLS`` grid cells: the buses there; an
+    event meets those of the blocks that hold its own or a neighbouring cell
+    (the grid of the batch operator, exact bounds), mostly a single one.
+    By pair: the timer. State is one row per bus and per pair that has been
+    close, spread over all tasks, whatever the size of a route.
 
     With ``ttl_sec`` (D13; ``gps`` then needs a watermark) a position older than
     that isn't met and a pair not seen close for longer begins anew; event-time
@@ -254,14 +259,15 @@ def bunching_stream(gps: DataFrame, distance_m: float = BUNCHING_DISTANCE_M, dur
             .withColumn("_rk", F.coalesce("route_id", F.lit("UNKNOWN"))).withColumn("ms", F.coalesce(epoch_millis("event_time"), F.lit(0).cast("long"))))
     ordered = in_event_order(rows, ["_rk", "bus_id"], ["route_id", "lat", "lon", "ms", "timestamp"], ["lat", "lon"], in_order, "bunching_order")
     grid, mode = Grid(distance_m), "none" if ttl_ms is None else "eventTime"
-    spots = (ordered.withColumn("own_cell", grid.own_cell(F.col("lat"), F.col("lon")))
-             .withColumn("near", grid.neighbour_cells(F.col("lat"), F.col("lon")))
-             .withColumn("left_cell", F.when(F.col("p_turn") >= 0, grid.own_cell(F.col("p_lat"), F.col("p_lon"))))
-             .withColumn("cell", F.explode(F.array_union("near", F.array_compact(F.array("own_cell", "left_cell")))))
-             .withColumn("probe", F.array_contains("near", F.col("cell"))).withColumn("own", F.col("cell") == F.col("own_cell"))
+    block = lambda c: F.struct(F.floor(c["band"] / CELLS).alias("band"), F.floor(c["lc"] / CELLS).alias("lc"))
+    spots = (ordered.withColumn("near", F.array_distinct(F.transform(grid.neighbour_cells(F.col("lat"), F.col("lon")), block)))
+             .withColumn("own_block", block(grid.own_cell(F.col("lat"), F.col("lon"))))
+             .withColumn("left_block", F.when(F.col("p_turn") >= 0, block(grid.own_cell(F.col("p_lat"), F.col("p_lon")))))
+             .withColumn("at", F.explode(F.array_union("near", F.array_compact(F.array("own_block", "left_block")))))
+             .withColumn("probe", F.array_contains("near", F.col("at"))).withColumn("own", F.col("at") == F.col("own_block"))
              # What a null looks like in pandas is no matter: these are read only where p_turn >= 0.
              .fillna(NO_TIME, ["p_us"]).fillna(-1, ["p_event_id"])
-             .select("_rk", F.col("cell.band").alias("band"), F.col("cell.lc").alias("lc"), "route_id", "bus_id", "lat", "lon", "us", "event_id",
+             .select("_rk", F.col("at.band").alias("band"), F.col("at.lc").alias("lc"), "route_id", "bus_id", "lat", "lon", "us", "event_id",
                      "ms", "timestamp", "turn", "probe", "own", "p_turn", "p_us", "p_event_id"))
     close = spots.groupBy("_rk", "band", "lc").transformWithStateInPandas(CellNeighbours(distance_m, ttl_ms), CellNeighbours.OUT, "append", mode)
     alerts = (close.withColumn("_rk", F.coalesce("route_id", F.lit("UNKNOWN"))).groupBy("_rk", "bus_a", "bus_b")
