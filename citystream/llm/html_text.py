@@ -2,18 +2,19 @@
 
 Markup is stripped into lines, one per block element. What belongs to menus,
 headers, footers, sidebars, notices, adverts, forms, comments and the like, by
-tag, role or class name, counts as an empty line, as does a line that is mostly
-link text. The block length at a line is the summed text length of the
-``WIDTH`` lines from there on. A surge is where it rises to ``SURGE`` characters
-or more, the following dive where it has fallen to zero; the text between is
-kept. If the page has ``article`` or ``main`` elements with text, only lines
-inside them count and any text is a surge, so short articles are kept whole.
+tag, role or class name, is left out, as is a line that is mostly link text.
+The block length at a line left is the summed length of the ``WIDTH`` lines from
+there on. A surge is where it rises to ``SURGE`` characters or more, the
+following dive where it falls under ``DIVE``; the text between is kept. Lying in
+an ``article`` or ``main`` element is a weight in these sums: it lengthens a
+line by ``LEAN`` characters where articles hold much of the page's text, and
+shortens it where they hold little.
 
 Character references are decoded; white space inside a line becomes one space;
 lines are joined in page order by one space.
 
 Defined results: a null or empty page has an empty text. A page in which no
-block length reaches ``SURGE`` keeps all its lines that aren't boilerplate.
+block length reaches ``SURGE`` keeps all lines left that have a weight.
 Unclosed elements end with their parent. Rows are handled one by one, so
 repeated rows, null ids and empty tables need no special case; other columns
 are not carried along.
@@ -29,8 +30,9 @@ from pyspark.sql import DataFrame
 
 from citystream.llm.common import map_rows
 
-#: Lines in a block, characters at which text surges, share of link text that makes a line a menu.
-WIDTH, SURGE, LINKS = 3, 80, 0.6
+#: Lines in a block, characters at which text surges and dives, what an article's lines are moved by,
+#: share of link text that makes a line a menu.
+WIDTH, SURGE, DIVE, LEAN, LINKS = 3, 80, 24, 120, 0.6
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>|</?[a-zA-Z][^<>]*(?:>|\Z)|[^<]+|<""",
                     re.S)
@@ -147,23 +149,37 @@ class Lines:
         self.parts, self.linked = [], 0
 
 
+def weights(lines: list[tuple[str, int, bool]]) -> list[int]:
+    """The text length of every line (text, its link characters, in an article),
+    moved by ``LEAN``: where articles hold a third of the text or more, up for
+    their lines and down for all others; where they hold less, as teasers do,
+    down for theirs."""
+    inside = sum(len(t) for t, _, article in lines if article)
+    outside = sum(len(t) for t, _, article in lines if not article)
+    if not inside:
+        return [len(t) for t, *_ in lines]
+    if 2 * inside >= outside:
+        return [len(t) + (LEAN if article else -LEAN) for t, _, article in lines]
+    return [len(t) - LEAN * article for t, _, article in lines]
+
+
+def surges(weight: list[int]) -> list[bool]:
+    """Which lines lie between a surge and its dive, by the sums of ``weight``
+    over the ``WIDTH`` lines from each on. A page that never surges is kept."""
+    blocks = [sum(weight[i:i + WIDTH]) for i in range(len(weight))]
+    if max(blocks, default=0) < SURGE:
+        return [w > 0 for w in weight]
+    on, kept = False, []
+    for w, block in zip(weight, blocks):
+        on = block >= (DIVE if on else SURGE)
+        kept.append(on and w > 0)
+    return kept
+
+
 def main_text(page: str | None) -> str:
-    lines = Lines(page).lines if page else []
-    inside = any(article and not junk for _, _, article, junk in lines)
-    surge = 1 if inside else SURGE
-    lengths = []
-    for text, linked, article, junk in lines:
-        menu = linked > LINKS * len(text) and not article
-        lengths.append(0 if junk or menu or inside and not article else len(text))
-    if sum(lengths) < surge or max((sum(lengths[i:i + WIDTH]) for i in range(len(lengths))), default=0) < surge:
-        return " ".join(t for (t, *_), n in zip(lines, lengths) if n)
-    kept, on = [], False
-    for i, (text, *_) in enumerate(lines):
-        block = sum(lengths[i:i + WIDTH])
-        on = on and block > 0 or block >= surge
-        if on and lengths[i]:
-            kept.append(text)
-    return " ".join(kept)
+    lines = [(text, linked, article) for text, linked, article, junk in (Lines(page).lines if page else [])
+             if not junk and (article or linked <= LINKS * len(text))]
+    return " ".join(text for (text, *_), kept in zip(lines, surges(weights(lines))) if kept)
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -61,6 +61,45 @@ def test_surge_and_dive_without_article_elements():
     assert html_text.main_text(page) == f"Menu Head {LONG} {LONG} x" or html_text.main_text(page) == f"Head {LONG} {LONG} x"
 
 
+def test_teaser_articles_beside_the_body():
+    body = " ".join([LONG] * 4)
+    teaser = "<article><h3>Read next</h3><p>Bridge closed</p></article>"
+    for page in (f'<div class="text"><p>{body}</p><p>{body}</p></div>{teaser}', f'{teaser}<div class="text"><p>{body}</p><p>{body}</p></div>',
+                 f'<div class="text"><p>{body}</p>{teaser}<p>{body}</p></div>'):
+        assert html_text.main_text(f"<body>{page}</body>") == f"{body} {body}"
+
+
+def test_short_paragraphs_far_from_the_body():
+    """Boilerplate lines between don't count as empty ones."""
+    junk = "<aside>One</aside><aside>Two</aside><div class=ad>Three</div>"
+    first, last = "A first paragraph of sixty characters, more or less so.", "And a short last one, also of sixty characters or so."
+    page = f"<body><nav>Menu</nav><p>{first}</p>{junk}<p>{LONG} {LONG}</p>{junk}<p>{last}</p><footer>End</footer></body>"
+    assert html_text.main_text(page) == f"{first} {LONG} {LONG} {last}"
+
+
+def test_surges_equal_sums_over_windows():
+    rnd = random.Random(8)
+    for _ in range(300):
+        weight = [rnd.choice([-100, 3, 10, 30, 90, 400]) for _ in range(rnd.randrange(12))]
+        block = lambda i: sum(w for k, w in enumerate(weight) if i <= k < i + html_text.WIDTH)
+        want = []
+        for i, w in enumerate(weight):  # the last surge point up to i, and no dive point since
+            start = max((k for k in range(i + 1) if block(k) >= html_text.SURGE), default=None)
+            want.append(w > 0 and start is not None and all(block(k) >= html_text.DIVE for k in range(start, i + 1)))
+        if not any(block(i) >= html_text.SURGE for i in range(len(weight))):
+            want = [w > 0 for w in weight]
+        assert html_text.surges(weight) == want
+
+
+def test_every_page_of_the_table():
+    """No page loses its article: the text is that of the one article's lines outside boilerplate."""
+    import pyarrow.parquet as pq
+
+    for html in pq.read_table("/root/testdata/sf0.1/pages.parquet", columns=["html"]).column(0).to_pylist():
+        lines = html_text.Lines(html or "").lines
+        assert html_text.main_text(html) == " ".join(t for t, _, article, junk in lines if article and not junk)
+
+
 def test_broken_pages():
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<script>x") == ""
     assert html_text.main_text("a < b and c > d") == "a < b and c > d"
