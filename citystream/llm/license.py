@@ -1,7 +1,8 @@
 """Licence scan by sparse TF-IDF cosine and directory inheritance, in DataFrame functions only.
 
-Every line of a file, and a licence file's text as a whole, is a candidate: its
-TF-IDF vector is compared with those of the templates by a join over terms.
+The candidates of a file are its lines, its runs of lines up to a blank one, the
+comment lines it begins with, and a licence file's text as a whole; comment
+marks are left out of all but single lines. A candidate's TF-IDF vector is compared with those of the templates by a join over terms.
 Weights are integers (a thousandth of a nat), so that sums are exact. A
 candidate matches the template of the highest cosine if that reaches
 ``THRESHOLD``.
@@ -68,8 +69,43 @@ TEMPLATES = (
                      "the following conditions are met"),
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    # Whole texts.
+    ("MIT", "MIT License Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
+            "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+            "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and "
+            "this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "
+            '"AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+            "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS "
+            "BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+            "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("BSD-3-Clause", "BSD 3-Clause License All rights reserved. Redistribution and use in source and binary forms, with or without "
+                     "modification, are permitted provided that the following conditions are met: 1. Redistributions of source code "
+                     "must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions "
+                     "in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in "
+                     "the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright "
+                     "holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+                     "without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "
+                     '"AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF '
+                     "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+                     "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+                     "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+                     "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR "
+                     "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF "
+                     "THE POSSIBILITY OF SUCH DAMAGE."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+            "provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "
+            '"AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF '
+            "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL "
+            "DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+            "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
 )
 
+#: The marks before the text of a comment line; a line of marks alone is a blank one.
+MARKS = r"(?m)^[ \t]*(#+|//+|/\*+|\*+/|\*+|--+|;+|%+|<!--)?[ \t]*(-->|\*+/)?"
+#: The comment lines that a text begins with.
+HEADER = r"\A(?:[ \t]*(?:#|//|/\*|\*|--|;|%)[^\n]*\n)+"
+
 
 def _terms(text: str) -> Counter:
     return Counter(w.strip(".") for w in re.split(WORD, text.lower()) if w.strip("."))
@@ -120,6 +156,18 @@ def tokens(line: Column) -> Column:
     return F.filter(F.transform(F.split(F.lower(line), WORD), lambda x: F.btrim(x, F.lit("."))), lambda x: x != "")
 
 
+def blocks(text: Column, named: Column) -> Column:
+    """The units of a text that are compared: its lines, its runs of lines up to
+    a blank one and its leading comment lines, these two without comment marks
+    and as one line each, and if it is a licence file the whole."""
+    plain = lambda t: F.regexp_replace(t, MARKS, "")
+    joined = lambda t: F.regexp_replace(t, "\n", " ")
+    runs = F.transform(F.split(plain(text), "\n\n+"), joined)
+    header = F.array(joined(plain(F.regexp_extract(text, HEADER, 0))))
+    whole = F.when(named, F.array(joined(plain(text)))).otherwise(F.array().cast("array<string>"))
+    return F.concat(F.split(text, "\n"), runs, header, whole)
+
+
 def candidate_lines(rows: DataFrame, lines: Column, model: Model) -> DataFrame:
     """The rows' other columns with each of their ``lines`` that may match."""
     vocabulary = F.array(*map(F.lit, sorted(model.weights)))
@@ -166,10 +214,10 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", model
     model = model or Model()
     rows = files.select(files[path_col].alias("path"), files[text_col].alias("text"))
     named = F.coalesce(license_file if license_file is not None else F.col("path").rlike(LICENSE_FILE), F.lit(False))
-    whole = F.when(named, F.array("text")).otherwise(F.array().cast("array<string>"))
+    # Texts without a leading term hold no match; the others are taken apart.
     # Read twice below: the scan of all texts is cut off here.
-    lines = cut(candidate_lines(rows, F.concat(F.split("text", "\n"), whole), model)
-                .select("path", F.sha2("line", 256).alias("line_id"), "line"))
+    lines = cut(candidate_lines(rows.where(F.col("text").rlike(model.pattern())), blocks(F.col("text"), named), model)
+                .select("path", F.sha2("line", 256).alias("line_id"), "line").distinct())
     matched = bounded(cut(scores(lines, model)))
     own = cut(lines.select("path", "line_id").join(matched, "line_id").groupBy("path")
               .agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("best"))

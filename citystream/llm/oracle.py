@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-from citystream.llm.license import Model
+from citystream.llm.license import HEADER, MARKS, Model
 
 OP5 = r"""
 WITH v AS (
@@ -102,8 +102,13 @@ files AS (
                    CASE WHEN length(text) <= 400 THEN 'LICENSE-' || doc_id ELSE doc_id || '.txt' END) AS path,
          text, length(text) <= 400 AS named
   FROM documents),
+plain AS (SELECT path, text, named, regexp_replace(text, '{MARKS}', '', 'g') AS bare FROM files),
 lines AS (
-  SELECT path, unnest(string_split(text, chr(10))) AS line FROM files UNION ALL SELECT path, text FROM files WHERE named),
+  SELECT DISTINCT path, line FROM (
+    SELECT path, unnest(string_split(text, chr(10))) AS line FROM files
+    UNION ALL SELECT path, replace(unnest(regexp_split_to_array(bare, '\n\n+')), chr(10), ' ') FROM plain
+    UNION ALL SELECT path, replace(regexp_replace(regexp_extract(text, '{HEADER}'), '{MARKS}', '', 'g'), chr(10), ' ') FROM files
+    UNION ALL SELECT path, replace(bare, chr(10), ' ') FROM plain WHERE named)),
 terms AS (
   SELECT line, term, count(*) AS tf
   FROM (SELECT line, trim(unnest(regexp_split_to_array(lower(line), '[^a-z0-9.]+')), '.') AS term

@@ -21,11 +21,12 @@ def op1_html(spark, sf_dir):
 
 def op2_license(spark, sf_dir):
     """The documents as a file tree: a source is a project, a language a folder
-    with a folder for every 100 ids; the short documents are its licence files."""
+    with a folder for every 100 ids; the short documents are its licence files.
+    A document without an id has no path."""
     docs = read_table(spark, sf_dir, "documents")
     name = F.when(F.char_length("text") <= 400, F.concat(F.lit("LICENSE-"), "doc_id")).otherwise(F.concat("doc_id", F.lit(".txt")))
     path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), name)
-    return license.scan(docs.select(path.alias("path"), "text"))
+    return license.scan(docs.select(F.when(F.col("doc_id").isNotNull(), path).alias("path"), "text"))
 
 
 def op3_warc(spark, sf_dir):
