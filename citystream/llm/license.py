@@ -1,8 +1,8 @@
 """Licence scan by sparse TF-IDF cosine and directory inheritance, in DataFrame functions only.
 
 The candidates of a file are its lines, its runs of lines up to a blank one, the
-comment lines it begins with, and a licence file's text as a whole; comment
-marks are left out of all but single lines. A candidate's TF-IDF vector is compared with those of the templates by a join over terms.
+comment lines it begins with, and a licence file's text as a whole, which is
+compared with whole licences too; comment marks are left out of all but single lines. A candidate's TF-IDF vector is compared with those of the templates by a join over terms.
 Weights are integers (a thousandth of a nat), so that sums are exact. A
 candidate matches the template of the highest cosine if that reaches
 ``THRESHOLD``.
@@ -69,7 +69,9 @@ TEMPLATES = (
                      "the following conditions are met"),
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    # Whole texts.
+)
+#: Whole texts, for licence files only: their frequent words would make candidates of any long text. Fixed values.
+WHOLE = (
     ("MIT", "MIT License Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
             "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
@@ -156,16 +158,17 @@ def tokens(line: Column) -> Column:
     return F.filter(F.transform(F.split(F.lower(line), WORD), lambda x: F.btrim(x, F.lit("."))), lambda x: x != "")
 
 
-def blocks(text: Column, named: Column) -> Column:
+def one_line(text: Column) -> Column:
+    """``text`` without comment marks, as one line."""
+    return F.regexp_replace(F.regexp_replace(text, MARKS, ""), "\n", " ")
+
+
+def blocks(text: Column) -> Column:
     """The units of a text that are compared: its lines, its runs of lines up to
     a blank one and its leading comment lines, these two without comment marks
-    and as one line each, and if it is a licence file the whole."""
-    plain = lambda t: F.regexp_replace(t, MARKS, "")
-    joined = lambda t: F.regexp_replace(t, "\n", " ")
-    runs = F.transform(F.split(plain(text), "\n\n+"), joined)
-    header = F.array(joined(plain(F.regexp_extract(text, HEADER, 0))))
-    whole = F.when(named, F.array(joined(plain(text)))).otherwise(F.array().cast("array<string>"))
-    return F.concat(F.split(text, "\n"), runs, header, whole)
+    and as one line each."""
+    runs = F.transform(F.split(F.regexp_replace(text, MARKS, ""), "\n\n+"), lambda t: F.regexp_replace(t, "\n", " "))
+    return F.concat(F.split(text, "\n"), runs, F.array(one_line(F.regexp_extract(text, HEADER, 0))))
 
 
 def candidate_lines(rows: DataFrame, lines: Column, model: Model) -> DataFrame:
@@ -207,19 +210,22 @@ def scores(candidates: DataFrame, model: Model) -> DataFrame:
 
 
 def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", model: Model | None = None,
-         license_file: Column | None = None) -> DataFrame:
+         license_file: Column | None = None, whole_model: Model | None = None) -> DataFrame:
     """(path, license, score, origin, inherited_from): ``origin`` is ``own``,
     ``inherited`` or null, ``inherited_from`` the directory of the licence file."""
     prepare(files.sparkSession)
-    model = model or Model()
+    model, whole_model = model or Model(), whole_model or Model(TEMPLATES + WHOLE)
     rows = files.select(files[path_col].alias("path"), files[text_col].alias("text"))
     named = F.coalesce(license_file if license_file is not None else F.col("path").rlike(LICENSE_FILE), F.lit(False))
     # Texts without a leading term hold no match; the others are taken apart.
-    # Read twice below: the scan of all texts is cut off here.
-    lines = cut(candidate_lines(rows.where(F.col("text").rlike(model.pattern())), blocks(F.col("text"), named), model)
-                .select("path", F.sha2("line", 256).alias("line_id"), "line").distinct())
-    matched = bounded(cut(scores(lines, model)))
-    own = cut(lines.select("path", "line_id").join(matched, "line_id").groupBy("path")
+    parts = candidate_lines(rows.where(F.col("text").rlike(model.pattern())), blocks(F.col("text")), model)
+    wholes = candidate_lines(rows.where(named), F.array(one_line(F.col("text"))), whole_model)
+    # Read several times below: the scan of all texts is cut off here.
+    lines = cut(parts.withColumn("whole", F.lit(False)).unionByName(wholes.withColumn("whole", F.lit(True)))
+                .select("path", "whole", F.sha2("line", 256).alias("line_id"), "line").distinct())
+    matched = bounded(cut(scores(lines.where("NOT whole"), model).withColumn("whole", F.lit(False))
+                          .unionByName(scores(lines.where("whole"), whole_model).withColumn("whole", F.lit(True)))))
+    own = cut(lines.select("path", "line_id", "whole").join(matched, ["line_id", "whole"]).groupBy("path")
               .agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("best"))
               .select("path", F.col("best.license").alias("own"), (-F.col("best.s")).alias("own_score")))
     directory = F.regexp_replace("path", r"/?[^/]*$", "")

@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-from citystream.llm.license import HEADER, MARKS, Model
+from citystream.llm.license import HEADER, MARKS, TEMPLATES, WHOLE, Model
 
 OP5 = r"""
 WITH v AS (
@@ -91,15 +91,34 @@ def _values(rows) -> str:
     return ", ".join(f"({', '.join(map(quoted, r))})" for r in rows)
 
 
+def _scored(m: Model, lines: str, t: str) -> str:
+    """CTEs up to scored_<t>(line, license, score): all of ``lines`` against the templates of ``m``."""
+    return rf"""
+weights_{t}(term, weight) AS (VALUES {_values(sorted(m.weights.items()))}),
+postings_{t}(term, template, part) AS (VALUES {_values(m.postings)}),
+norms_{t}(template, license, norm) AS (VALUES {_values(m.norms)}),
+terms_{t} AS (
+  SELECT line, term, count(*) AS tf
+  FROM (SELECT line, trim(unnest(regexp_split_to_array(lower(line), '[^a-z0-9.]+')), '.') AS term
+        FROM (SELECT DISTINCT line FROM {lines}))
+  WHERE term <> '' GROUP BY line, term),
+weighed_{t} AS (
+  SELECT line, term, tf * coalesce(weight, {m.unseen}) AS part_a FROM terms_{t} LEFT JOIN weights_{t} USING (term)),
+own_norms_{t} AS (SELECT line, CAST(sum(part_a * part_a) AS DOUBLE) AS norm_a FROM weighed_{t} GROUP BY line),
+dots_{t} AS (
+  SELECT line, template, CAST(sum(part_a * part) AS DOUBLE) AS dot
+  FROM weighed_{t} JOIN postings_{t} USING (term) GROUP BY line, template),
+scored_{t} AS (
+  SELECT line, license, dot / sqrt(CAST(norm AS DOUBLE) * norm_a) AS score
+  FROM dots_{t} JOIN norms_{t} USING (template) JOIN own_norms_{t} USING (line)
+  WHERE dot / sqrt(CAST(norm AS DOUBLE) * norm_a) >= {m.threshold}),"""
+
+
 def _op2() -> str:
-    m = Model()
     return rf"""
-WITH weights(term, weight) AS (VALUES {_values(sorted(m.weights.items()))}),
-postings(term, template, part) AS (VALUES {_values(m.postings)}),
-norms(template, license, norm) AS (VALUES {_values(m.norms)}),
-files AS (
-  SELECT concat_ws('/', source, lang, CAST(CAST(floor(doc_id / 100) AS BIGINT) AS VARCHAR),
-                   CASE WHEN length(text) <= 400 THEN 'LICENSE-' || doc_id ELSE doc_id || '.txt' END) AS path,
+WITH files AS (
+  SELECT CASE WHEN doc_id IS NOT NULL THEN concat_ws('/', source, lang, CAST(CAST(floor(doc_id / 100) AS BIGINT) AS VARCHAR),
+                   CASE WHEN length(text) <= 400 THEN 'LICENSE-' || doc_id ELSE doc_id || '.txt' END) END AS path,
          text, length(text) <= 400 AS named
   FROM documents),
 plain AS (SELECT path, text, named, regexp_replace(text, '{MARKS}', '', 'g') AS bare FROM files),
@@ -107,24 +126,14 @@ lines AS (
   SELECT DISTINCT path, line FROM (
     SELECT path, unnest(string_split(text, chr(10))) AS line FROM files
     UNION ALL SELECT path, replace(unnest(regexp_split_to_array(bare, '\n\n+')), chr(10), ' ') FROM plain
-    UNION ALL SELECT path, replace(regexp_replace(regexp_extract(text, '{HEADER}'), '{MARKS}', '', 'g'), chr(10), ' ') FROM files
-    UNION ALL SELECT path, replace(bare, chr(10), ' ') FROM plain WHERE named)),
-terms AS (
-  SELECT line, term, count(*) AS tf
-  FROM (SELECT line, trim(unnest(regexp_split_to_array(lower(line), '[^a-z0-9.]+')), '.') AS term
-        FROM (SELECT DISTINCT line FROM lines))
-  WHERE term <> '' GROUP BY line, term),
-weighed AS (
-  SELECT line, term, tf * coalesce(weight, {m.unseen}) AS part_a FROM terms LEFT JOIN weights USING (term)),
-own_norms AS (SELECT line, CAST(sum(part_a * part_a) AS DOUBLE) AS norm_a FROM weighed GROUP BY line),
-dots AS (
-  SELECT line, template, CAST(sum(part_a * part) AS DOUBLE) AS dot
-  FROM weighed JOIN postings USING (term) GROUP BY line, template),
-scored AS (
-  SELECT line, license, dot / sqrt(CAST(norm AS DOUBLE) * norm_a) AS score
-  FROM dots JOIN norms USING (template) JOIN own_norms USING (line)),
+    UNION ALL SELECT path, replace(regexp_replace(regexp_extract(text, '{HEADER}'), '{MARKS}', '', 'g'), chr(10), ' ') FROM files)),
+wholes AS (SELECT DISTINCT path, replace(bare, chr(10), ' ') AS line FROM plain WHERE named),
+{_scored(Model(), 'lines', 'part')}
+{_scored(Model(TEMPLATES + WHOLE), 'wholes', 'whole')}
 own AS (
-  SELECT path, license, score FROM lines JOIN scored USING (line) WHERE score >= {m.threshold}
+  SELECT path, license, score
+  FROM (SELECT path, license, score FROM lines JOIN scored_part USING (line)
+        UNION ALL SELECT path, license, score FROM wholes JOIN scored_whole USING (line))
   QUALIFY row_number() OVER (PARTITION BY path ORDER BY score DESC, license) = 1),
 given AS (
   SELECT regexp_replace(path, '/?[^/]*$', '') AS above, license, score FROM own WHERE regexp_matches(path, '/LICENSE-[0-9]+$')

@@ -59,7 +59,7 @@ def test_scores_equal_dense_cosines(spark):
         assert line in possible or best(line) is None
 
 
-MIT_NOTICE = license.TEMPLATES[-3][1]
+MIT_NOTICE = license.WHOLE[0][1]
 GPL_HEADER = ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License "
               "as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\n")
 
@@ -80,8 +80,8 @@ def test_wrapped_headers_and_whole_texts(spark):
     rows = [("g/a.py", GPL_HEADER + "import os\n"), ("g/b.py", "#!/usr/bin/env python\n#\n" + GPL_HEADER + "\nimport os\n"),
             ("m/a.c", "/*\n * Copyright (c) 2020 A. Body\n *\n" + "\n".join(wrap(p, 70, " * ") for p in paragraphs.split("\n *\n * ")) + "\n */\nint x;\n"),
             ("l/LICENSE", wrap("MIT License Copyright (c) 2021 Somebody " + mit, 72)), ("l/x.py", "code"),
-            ("b/LICENSE", wrap("BSD 3-Clause License Copyright (c) 2021, Somebody All rights reserved. " + license.TEMPLATES[-2][1], 72)),
-            ("i/LICENSE.md", "ISC License\n\nCopyright 2020 Me\n\n" + wrap(license.TEMPLATES[-1][1], 60)), ("n/a.py", "# licence to kill\nx = 1\n")]
+            ("b/LICENSE", wrap("BSD 3-Clause License Copyright (c) 2021, Somebody All rights reserved. " + license.WHOLE[1][1], 72)),
+            ("i/LICENSE.md", "ISC License\n\nCopyright 2020 Me\n\n" + wrap(license.WHOLE[2][1], 60)), ("n/a.py", "# licence to kill\nx = 1\n")]
     out = {r.path: (r.license, r.origin) for r in license.scan(files(spark, rows)).collect()}
     assert out == {"g/a.py": ("GPL-3.0", "own"), "g/b.py": ("GPL-3.0", "own"), "m/a.c": ("MIT", "own"), "l/LICENSE": ("MIT", "own"), "l/x.py": ("MIT", "inherited"),
                    "b/LICENSE": ("BSD-3-Clause", "own"), "i/LICENSE.md": ("ISC", "own"), "n/a.py": (None, None)}
@@ -93,7 +93,7 @@ def test_blocks_equal_a_walk_over_lines(spark):
     rnd = random.Random(2)
     texts = ["\n".join(rnd.choice(["", "#", "# a b", "x = 1", " * c", "/* d", "*/", "// e f", "  ", "-- g", "<!-- h", "i # j"]) for _ in range(rnd.randrange(9)))
              for _ in range(200)]
-    found = spark.createDataFrame([(t,) for t in texts], "text string").select("text", license.blocks(F.col("text"), F.lit(False)).alias("b")).collect()
+    found = spark.createDataFrame([(t,) for t in texts], "text string").select("text", license.blocks(F.col("text")).alias("b")).collect()
     for r in found:
         bare = [marks.sub("", x, count=1) for x in r.text.split("\n")]
         runs, run = set(), []
