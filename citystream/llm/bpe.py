@@ -32,9 +32,9 @@ from citystream.llm.common import map_rows, worker_store
 from citystream.session import prepare
 
 #: Pieces remembered by a worker, and the longest remembered.
-CACHE_PIECES, CACHE_CHARS = 400_000, 32
+CACHE_PIECES, CACHE_CHARS = 300_000, 32
 #: Characters whose pieces are held and merged at a time (or one text).
-STRETCH = 1 << 20
+STRETCH = 1 << 19
 
 
 def with_ranges(pattern: str, below: int = 0x110000) -> str:
@@ -63,6 +63,12 @@ def with_ranges(pattern: str, below: int = 0x110000) -> str:
     return "".join(out)
 
 
+def spell(pattern: str) -> list[str]:
+    """``pattern`` for ASCII texts, for those up to 0xFFFF, where the engine's
+    bitmap ends, and for all."""
+    return [with_ranges(pattern, below) for below in (0x80, 0x10000, 0x110000)]
+
+
 class RankQueue:
     """Positions by merge rank, lowest rank and then leftmost position first.
 
@@ -78,7 +84,7 @@ class RankQueue:
 class Encoder:
     """Encodes and decodes with ``ranks``: token bytes -> id, which is also the merge rank."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, spelled: list[str] | None = None):
         if any(bytes((b,)) not in ranks for b in range(256)):
             raise ValueError("the vocabulary must hold every single byte")
         self.ranks = ranks
@@ -96,8 +102,7 @@ class Encoder:
         self.byte_ids = np.array([ranks[bytes((b,))] for b in range(256)], np.int64)
         #: The same for any two bytes; -1 for none.
         self.byte_pairs = np.array([ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)], np.int64)
-        # The engine's bitmap ends at 0xFFFF, and ASCII needs only a few ranges.
-        self.splits = [re.compile(with_ranges(pattern, below)).findall for below in (0x80, 0x10000, 0x110000)]
+        self.splits = [re.compile(p).findall for p in spelled or spell(pattern)]
         self.known: dict[str, bytes] = {}  # packed ids of pieces met
 
     def split(self, text: str) -> list[str]:
@@ -233,7 +238,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 def _each(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str, value_col: str, rows: Callable, schema: str) -> DataFrame:
     """``rows(encoder, values) -> columns`` over every batch."""
     # A vocabulary holds some MB, whatever the corpus.
-    shared = prepare(df.sparkSession).sparkContext.broadcast((ranks, pattern))
+    shared = prepare(df.sparkSession).sparkContext.broadcast((ranks, pattern, spell(pattern)))
     key = hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
 
     def make():

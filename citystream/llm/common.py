@@ -16,6 +16,9 @@ from citystream.session import checkpoint_root, prepare
 #: A lookup side is broadcast only when counted at or below so many rows and bytes.
 BROADCAST_ROWS, BROADCAST_BYTES = 250_000, 1 << 25
 
+#: Rows of an Arrow batch of texts.
+TEXT_ROWS = 2000
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -27,8 +30,17 @@ def worker_store(name: str) -> dict:
     return own.__dict__.setdefault(name, {})
 
 
+def prepare_texts(spark: SparkSession) -> SparkSession:
+    """``spark`` with Arrow batches of at most ``TEXT_ROWS`` rows: texts are
+    long, and a batch is held by the executor and by the worker at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= TEXT_ROWS:
+        spark.conf.set(key, str(TEXT_ROWS))
+    return prepare(spark)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare_texts(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -74,7 +86,7 @@ def map_rows(df: DataFrame, keep: list[str], value_col: str, make: Callable[[],
     ("name type, ..."): ``make()`` runs once per task and gives a function from
     a list of values to a dict of columns. Batches go through Arrow; ids never
     pass pandas, which would round large ones in columns with nulls."""
-    prepare(df.sparkSession)
+    prepare_texts(df.sparkSession)
     fields = [c.split() for c in schema.split(", ")]
     types = {name: ARROW[kind] for name, kind in fields}
     given = ", ".join(f"_{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
