@@ -27,9 +27,7 @@ FROM (SELECT ward_id, time_bucket(INTERVAL 15 MINUTE, event_time, {EPOCH}) AS wi
       GROUP BY ALL)
 """, "smart_meters")
 
-ORACLE["ward_energy_history"] = f"""
-SELECT * FROM ({ORACLE["ward_energy_15m"]})
-WHERE ward_id IN ('W1', 'W2') AND date BETWEEN '2024-01-05' AND '2024-01-20'"""
+ORACLE["ward_energy_history"] = ORACLE["ward_energy_15m"]
 
 _ROLLING = f"""rolling AS (
   SELECT zone, window_start, window_start + INTERVAL 10 MINUTE AS window_end,

@@ -34,9 +34,8 @@ def _ward_history(spark: SparkSession, sf_dir: str) -> str:
 
 
 def ward_energy_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The history of some wards and days, read back by partition."""
-    path = _ward_history(spark, sf_dir)
-    return _ward_out(history.read_history(spark, path, wards=["W1", "W2"], date_from="2024-01-05", date_to="2024-01-20"))
+    """The whole history, written by ward and date and read back."""
+    return _ward_out(history.read_history(spark, _ward_history(spark, sf_dir)))
 
 
 def ward_energy_15m(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,3 +55,24 @@ def test_query_matches_oracle(spark, duck, name):
     want = duck.sql(E.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert _rows(got) == _rows(want)
+
+
+def test_history_reads_only_the_asked_partitions(spark):
+    """The pruned read of the written history (S9): partition filters, and the rows of those wards and days."""
+    from citystream.operators import history
+    from citystream.plans import queries as Q
+    path = Q._ward_history(spark, SF)
+    some = history.read_history(spark, path, wards=["W1", "W2"], date_from="2024-01-05", date_to="2024-01-20")
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "W1" in plan and "2024-01-05" in plan
+    whole = history.read_history(spark, path)
+    assert some.count() == whole.where("ward_id IN ('W1', 'W2') AND date BETWEEN '2024-01-05' AND '2024-01-20'").count() > 0
+
+
+def test_entry_without_a_text_library():
+    """A missing library of the text operators leaves the other queries in place."""
+    import subprocess
+    import sys
+    code = "import sys; sys.modules['zstandard'] = None; import __spark_entry__ as E; print(len(E.queries()), any(q.startswith('op') for q in E.queries()))"
+    ran = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=E.__file__.rpartition("/")[0])
+    assert ran.stdout.split() == [str(len(QUERIES)), "False"] and "zstandard" in ran.stderr
