@@ -53,9 +53,9 @@ from citystream.session import prepare
 #: small, and over which an empty rest undoes a filled configuration.
 SHARD, GROUPS, SMALL, LOOSE = 20_000, 48, 1 / 8, 1 / 512
 #: Words remembered by a worker, and the longest remembered.
-CACHE_WORDS, CACHE_CHARS = 300_000, 32
+CACHE_WORDS, CACHE_CHARS = 1_000_000, 32
 #: Characters whose words are held at a time (or one text).
-STRETCH = 1 << 19
+STRETCH = 1 << 21
 
 # Below 0x180 every code point is its own normal form and has one lower case,
 # but for U+0130, whose lower case is two code points.
