@@ -9,7 +9,9 @@ on over a row if its predecessor is the close row before it.
 
 * :func:`summarize` (parallel): what a later chunk needs to know, whatever
   timer is carried in.
-* :func:`resolve` (in order, one summary per chunk): the timer carried in.
+* :func:`compose`: the summary of two neighbouring stretches, so that summaries
+  merge in rounds and no pair's history has to be folded in one place.
+* :func:`resolve` (a few summaries in order): the timer carried in.
 * :func:`replay` (parallel): the chunk's alerts, given that timer.
 """
 
@@ -17,6 +19,8 @@ from __future__ import annotations
 
 import numpy as np
 
+NONE = np.empty(0, np.int64)
+
 
 def _runs(ids: np.ndarray, preds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first rows of the runs that start inside, end of the run of each row)."""
@@ -69,6 +73,28 @@ def resolve(goes_on: bool, timer: int, row: dict, d: int) -> int:
     return int(row["cand_exit"][k]) if k < len(row["cand_ts"]) else timer
 
 
+def compose(a: dict, b: dict, d: int, start: int) -> dict:
+    """The summary of stretch ``a`` (which begins at ``start``) and the stretch
+    ``b`` after it, as one: what :func:`resolve` says of it is what it says of
+    the two in turn. Entries later than ``start + d`` but for the first can't
+    be met and are left out, so a summary never grows with the stretch."""
+    goes_on = b["first_pred"] == a["last_id"]
+
+    def through(timer: int) -> int:
+        return resolve(goes_on, timer, b, d)
+
+    whole = {"first_pred": a["first_pred"], "last_id": b["last_id"], "start_exit": through(a["start_exit"]),
+             "has_local_start": a["has_local_start"] or not goes_on or b["has_local_start"], "det_exit": 0}
+    if whole["has_local_start"]:
+        # From the last start on, what was carried in no longer matters.
+        return {**whole, "det_exit": through(a["det_exit"]), "cand_ts": NONE, "cand_exit": NONE}
+    ts = np.concatenate([a["cand_ts"], b["cand_ts"]]).astype(np.int64)
+    exits = np.concatenate([[through(int(e)) for e in a["cand_exit"]], b["cand_exit"]]).astype(np.int64)
+    n = min(len(ts), int(np.searchsorted(ts, start + d, "right")) + 1)
+    last = np.append(exits[1:n] != exits[:n - 1], True)
+    return {**whole, "cand_ts": ts[:n][last], "cand_exit": exits[:n][last]}
+
+
 def replay(ts, ids, preds, d: int, goes_on: bool, timer: int) -> list[tuple[int, int]]:
     """(row, elapsed) of every alert in the chunk."""
     ts, ids, preds = map(np.asarray, (ts, ids, preds))
