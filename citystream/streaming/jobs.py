@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from citystream.config import AQI_UNHEALTHY, WARD_WINDOW, WATERMARK_DELAY
-from citystream.operators import aggregates, detectors, enrich, history, quality
+from citystream.operators import aggregates, detectors, enrich, history, quality, serving
 from citystream.session import checkpoint_location
-from citystream.streaming import sinks, stateful
+from citystream.streaming import maintained, sinks, stateful
 
 DETECTOR_WATERMARK = "5 seconds"  # bounds ordering metadata only; detectors drop nothing
 
@@ -141,7 +141,6 @@ def consumer_group_queries(signals_for_group, sink_root: str, trigger: dict | No
     returns a fresh decoded stream for a group. HIGH_PRIORITY emits signal
     adaptations (P5); STANDARD_PRIORITY keeps message counts per partition (A7).
     """
-    from citystream.operators import serving
     started = []
     for group, pool in zip(("HIGH_PRIORITY", "STANDARD_PRIORITY"), pools):
         stream = signals_for_group(group)
@@ -183,11 +182,10 @@ def incident_queries(air: DataFrame, signals: DataFrame, gps: DataFrame, sink_ro
                      name: str = "incidents", bunching_sec: int | None = None,
                      trigger: dict | None = None, topic_fmt: str | None = None, topic_target: str | None = None,
                      topic_options: dict[str, str] | None = None) -> list:
-    """U1/K6 streaming: the three detectors feed one incidents table. Spark
-    allows one keyed-state operator per query, so each detector is its own
-    query (own checkpoint) writing the unified incident schema below
-    ``sink_root`` (read that folder as one table) and, if ``topic_fmt`` is
-    given, to one topic."""
+    """U1/K6 streaming: the three detectors feed one incidents table, each as
+    its own query (own checkpoint, own pace) writing the unified incident schema
+    below ``sink_root`` (read that folder as one table) and, if ``topic_fmt`` is
+    given, to one topic. :func:`incident_query` is all of them in one query."""
     started = []
     for part, df in (("aqi", emergency_stream(air)), ("gridlock", gridlock_incidents(signals)),
                      ("bunching", bunching_incidents(gps, bunching_sec))):
@@ -207,3 +205,46 @@ def incident_queries(air: DataFrame, signals: DataFrame, gps: DataFrame, sink_ro
         w = _writer(feed, f"{name}_{part}", "append").foreachBatch(sink)
         started.append((w.trigger(**trigger) if trigger else w).start())
     return started
+
+
+def incident_rows(air: DataFrame, signals: DataFrame, gps: DataFrame, bunching_sec: int | None = None,
+                  in_order: bool = False) -> DataFrame:
+    """U1 streaming: the three detectors' alerts as one stream. All keyed state
+    is in ``transformWithState`` operators, which may stand in chains and beside
+    each other in one query, so the stream has one query id and one checkpoint."""
+    watermarked = signals.withWatermark("event_time", DETECTOR_WATERMARK)
+    return detectors.incident_feed(emergency_stream(air), stateful.gridlock_in_order(watermarked, in_order=in_order),
+                                   bunching_incidents(gps, bunching_sec, in_order))
+
+
+def incident_query(air: DataFrame, signals: DataFrame, gps: DataFrame, sink_root: str, name: str = "incident_feed",
+                   bunching_sec: int | None = None, in_order: bool = False, topic_fmt: str | None = None,
+                   topic_target: str | None = None, topic_options: dict[str, str] | None = None,
+                   latest_root: str | None = None) -> DataStreamWriter:
+    """One query from three sources to one incident table below
+    ``sink_root`` (a folder per batch, replaced on replay), if ``topic_fmt`` is
+    given to one topic, and if ``latest_root`` is given to a maintained table of
+    the newest incidents (O2, Y5), all from the same micro-batch."""
+    def sink(batch, batch_id):
+        batch = batch.persist()
+        try:
+            batch.write.mode("overwrite").parquet(sinks.batch_place(sink_root, batch, batch_id))
+            if topic_fmt:
+                sinks.write_topic_batch(sinks.as_topic_records(batch, keep_nulls=True), topic_fmt,
+                                        sinks.batch_place(topic_target, batch, batch_id), topic_options)
+            if latest_root:
+                maintained.keep_latest(batch, latest_root, serving.incident_order(), sinks.batch_name(batch, batch_id))
+        finally:
+            batch.unpersist()
+
+    return _writer(incident_rows(air, signals, gps, bunching_sec, in_order), name, "append").foreachBatch(sink)
+
+
+def upsert_query(rows: DataFrame, keys: list[str], root: str, part_by: str, name: str, mode: str = "update") -> DataStreamWriter:
+    """A stream that emits a row again when it changes (advisories by zone
+    and window start) as a table with the newest row of each key. ``part_by``
+    is the date column whose parts are rewritten when touched."""
+    def sink(batch, batch_id):
+        maintained.upsert(batch, root, keys, part_by, sinks.batch_name(batch, batch_id))
+
+    return _writer(rows, name, mode).foreachBatch(sink)

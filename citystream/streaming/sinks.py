@@ -35,6 +35,11 @@ def keyed_layout(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return df.repartition(key).sortWithinPartitions(key, *order)
 
 
+def batch_name(batch: DataFrame, batch_id: int) -> str:
+    """Names one micro-batch of one checkpoint, the same on every attempt."""
+    return f"{batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+
+
 def batch_place(target: str, batch: DataFrame, batch_id: int) -> str:
     """The folder of one micro-batch below ``target``. The query id lasts as
     long as the checkpoint, so a replay finds its own folder and no other."""

@@ -97,17 +97,21 @@ class Streak(StatefulProcessor):
         pass
 
 
-def gridlock_in_order(signals: DataFrame, wait_sec: float = GRIDLOCK_WAIT_SEC, cycles: int = GRIDLOCK_CYCLES) -> DataFrame:
+def gridlock_in_order(signals: DataFrame, wait_sec: float = GRIDLOCK_WAIT_SEC, cycles: int = GRIDLOCK_CYCLES,
+                      in_order: bool = True) -> DataFrame:
     """T4 over event time (T2): as :func:`gridlock_stream`, but a junction's
     cycles are counted in event-time order whatever order they arrive in, once
-    the watermark has passed them. ``signals`` needs a watermark."""
+    the watermark has passed them. ``signals`` needs a watermark. With
+    ``in_order`` off they are counted as they arrive, by operators that, unlike
+    those of :func:`gridlock_stream`, may stand beside others in one query."""
     prepare(signals.sparkSession)
     rows = signals.withColumn("_key", F.coalesce("junction_id", F.lit("UNKNOWN")))
-    ordered = in_event_order(rows, ["_key"], ["junction_id", "zone", "avg_wait_sec", "timestamp"], [], True, "gridlock_order")
+    ordered = in_event_order(rows, ["_key"], ["junction_id", "zone", "avg_wait_sec", "timestamp"], [], in_order, "gridlock_order")
     hits = ordered.groupBy("_key").transformWithStateInPandas(
         Streak(wait_sec, cycles), "junction_id string, zone string, avg_wait_sec double, timestamp string, us long, event_id long",
         "append", "none")
-    return hits.select(F.lit(TRAFFIC_GRIDLOCK).alias("incident_type"), "junction_id", "zone", "avg_wait_sec",
+    return hits.select(F.lit(TRAFFIC_GRIDLOCK).alias("incident_type"), "junction_id", "zone",
+                       F.coalesce("avg_wait_sec", F.lit(0.0)).alias("avg_wait_sec"),
                        F.lit(cycles).alias("consecutive_cycles"), F.col("timestamp").alias("detected_from_timestamp"),
                        _event_time(), "event_id")
 
