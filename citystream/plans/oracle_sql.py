@@ -310,17 +310,46 @@ SELECT sensor_id, "timestamp", aqi, "partition", "offset" FROM d
 QUALIFY row_number() OVER (PARTITION BY sensor_id, "timestamp" ORDER BY "offset") = 1
 """, "air_quality")
 
-ORACLE["retention_summary"] = with_streams("""
-, allr AS (SELECT 'air_quality' AS dataset, event_time FROM air_quality
-           UNION ALL SELECT 'bus_gps', event_time FROM bus_gps
-           UNION ALL SELECT 'traffic_signals', event_time FROM traffic_signals
-           UNION ALL SELECT 'smart_meters', event_time FROM smart_meters),
-j AS (SELECT allr.dataset, event_time, as_of,
-             CASE allr.dataset WHEN 'air_quality' THEN 90 WHEN 'bus_gps' THEN 1
-                  WHEN 'traffic_signals' THEN 7 WHEN 'smart_meters' THEN 365 END AS retention_days
-      FROM allr JOIN (SELECT dataset, max(event_time) AS as_of FROM allr GROUP BY dataset) m
-        ON allr.dataset = m.dataset)
+ORACLE["health_advisories_sql"] = ORACLE["health_advisories"]
+
+_PLACES = """
+, pos AS (SELECT bus_id, lat, lon FROM bus_gps
+          WHERE bus_id IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL
+          QUALIFY row_number() OVER (PARTITION BY bus_id ORDER BY event_time DESC, event_id DESC) = 1),
+placed AS (SELECT *, min(bus_id) OVER (PARTITION BY lat, lon) AS place_id, count(*) OVER (PARTITION BY lat, lon) AS n FROM pos),
+near AS (
+  SELECT a.bus_id AS a, b.bus_id AS b, a.place_id AS place_a, b.place_id AS place_b, a.n AS n_a, b.n AS n_b,
+         2 * 6371000.0 * asin(sqrt(least(1.0, sin(radians(b.lat - a.lat) / 2) * sin(radians(b.lat - a.lat) / 2)
+           + cos(radians(a.lat)) * cos(radians(b.lat))
+           * (sin(radians(b.lon - a.lon) / 2) * sin(radians(b.lon - a.lon) / 2))))) AS d
+  FROM placed a JOIN placed b ON a.bus_id <> b.bus_id)"""
+
+ORACLE["bus_places_200m"] = with_streams(_PLACES + """
+SELECT p.bus_id, p.place_id, count(near.b) AS n_within
+FROM placed p LEFT JOIN near ON near.a = p.bus_id AND near.d <= 200 GROUP BY p.bus_id, p.place_id
+""", "bus_gps")
+
+ORACLE["places_within_200m"] = with_streams(_PLACES + f"""
+SELECT place_a, place_b, {R("d", 4)} AS distance_m, n_a, n_b
+FROM near WHERE d <= 200 AND a = place_a AND b = place_b AND place_a < place_b
+""", "bus_gps")
+
+_RETAINED = {"bus_gps": 1, "traffic_signals": 7, "air_quality": 90, "smart_meters": 365, "bus_gps_enriched": 1,
+             "incidents": 30, "ward_energy_summary": 90, "health_advisories": 90, "dlq": 14}
+_DATED = "\nUNION ALL\n".join(
+    [f"SELECT '{name}' AS dataset, event_time FROM ({with_streams(f'SELECT event_time FROM {name}', name)})"
+     for name in ("bus_gps", "traffic_signals", "air_quality", "smart_meters")]
+    + [f"SELECT 'bus_gps_enriched', event_time FROM ({with_streams('SELECT event_time FROM bus_gps', 'bus_gps')})"]
+    + [f"SELECT '{name}', {at} FROM ({ORACLE[query]})" for name, query, at in (
+        ("incidents", "incident_feed", "event_time"), ("ward_energy_summary", "ward_energy_15m", "window_end"),
+        ("health_advisories", "health_advisories", "window_end"), ("dlq", "dlq_records", "quarantined_at"))])
+
+ORACLE["retention_summary"] = f"""
+WITH allr AS ({_DATED}),
+days AS (SELECT * FROM (VALUES {", ".join(f"('{n}', {d})" for n, d in _RETAINED.items())}) v(dataset, retention_days)),
+j AS (SELECT allr.dataset, event_time, as_of, retention_days
+      FROM allr JOIN (SELECT dataset, max(event_time) AS as_of FROM allr GROUP BY dataset) m USING (dataset) JOIN days USING (dataset))
 SELECT dataset, retention_days, count(*) AS total,
-       count(*) FILTER (WHERE event_time >= as_of - to_days(retention_days)) AS retained
+       count(*) FILTER (WHERE event_time >= as_of - to_days(CAST(retention_days AS INTEGER))) AS retained
 FROM j GROUP BY dataset, retention_days
-""", "air_quality", "bus_gps", "traffic_signals", "smart_meters")
+"""

@@ -8,14 +8,15 @@ TIMESTAMP_NTZ (zone-free), double aggregates rounded to 4 places.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citystream.config import CONSUMER_GROUPS, DLQ_REPORT_WINDOW_SEC, RETENTION_DAYS
 from citystream.functions.jsonfn import payload_json
-from citystream.functions.timefn import to_ntz
-from citystream.operators import aggregates, bunching, detectors, enrich, history, quality, serving
+from citystream.functions.timefn import parse_event_time, to_ntz
+from citystream.operators import aggregates, bunching, detectors, enrich, history, quality, relations, retention, serving
 from citystream.session import scratch_path
 from citystream.sources import testdata as td
 
@@ -275,22 +276,39 @@ def redelivered_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.first_deliveries(aq.unionByName(again).drop("event_id"), ["sensor_id", "timestamp"])
 
 
+def bus_places_200m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every bus with its place (class of equal positions) and its number of buses within 200 m."""
+    return history.bus_places(history.latest_positions(td.bus_gps(spark, sf_dir)))
+
+
+def places_within_200m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of places within 200 m; output grows with places, not with pairs of buses."""
+    pairs = history.places_within(history.latest_positions(td.bus_gps(spark, sf_dir)))
+    return pairs.withColumn("distance_m", F.round("distance_m", 4))
+
+
+def health_advisories_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The advisories by SQL text over named relations."""
+    out = relations.advisories_by_sql(spark, td.air_quality(spark, sf_dir), td.zone_profile(spark, sf_dir))
+    return out.withColumn("window_start", to_ntz("window_start")).withColumn("window_end", to_ntz("window_end"))
+
+
 def retention_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows each stream keeps under its retention, as of its newest record."""
-    parts = [f(spark, sf_dir).select(F.lit(name).alias("dataset"), "event_time")
-             for name, f in td.STREAMS.items()]
-    allr = parts[0]
-    for p in parts[1:]:
-        allr = allr.unionByName(p)
-    as_of = allr.groupBy("dataset").agg(F.max("event_time").alias("as_of"))
-    days = F.lit(None).cast("int")
-    for name in td.STREAMS:
-        days = F.when(F.col("dataset") == name, F.lit(RETENTION_DAYS[name])).otherwise(days)
-    # as_of has one row per dataset in td.STREAMS (four): a size fixed by the code.
-    j = allr.join(F.broadcast(as_of), "dataset").withColumn("retention_days", days)
-    keep = F.col("event_time") >= F.col("as_of") - F.make_dt_interval(days=F.col("retention_days"))
-    return j.groupBy("dataset", "retention_days").agg(F.count("*").alias("total"),
-                                                      F.count_if(keep).alias("retained"))
+    """Rows each of the nine datasets keeps under its retention, as of its
+    newest record, planned over the date partitions of the written datasets."""
+    air = td.air_quality(spark, sf_dir)
+    derived = {
+        "bus_gps_enriched": (bus_gps_enriched(spark, sf_dir), parse_event_time("timestamp")),
+        "incidents": (_feed(spark, sf_dir), F.col("event_time")),
+        "ward_energy_summary": (_ward_summary(spark, sf_dir), F.col("window_end")),
+        "health_advisories": (aggregates.health_advisories(air, td.zone_profile(spark, sf_dir)), F.col("window_end")),
+        "dlq": (_dlq(spark, sf_dir), F.col("quarantined_at")),
+    }
+    streams = {name: (f(spark, sf_dir), F.col("event_time")) for name, f in td.STREAMS.items()}
+    rows = [df.select(F.lit(name).alias("dataset"), t.alias("event_time")) for name, (df, t) in {**streams, **derived}.items()]
+    root = scratch_path(spark, "retention")
+    retention.write_dated(reduce(DataFrame.unionByName, rows), root)
+    return retention.summary(spark, root, retention.plan(spark, root, RETENTION_DAYS))
 
 
 QUERIES: dict[str, Query] = {
@@ -321,6 +339,9 @@ QUERIES: dict[str, Query] = {
     "ward_energy_weekly": ward_energy_weekly,
     "ward_energy_monthly": ward_energy_monthly,
     "buses_within_200m": buses_within_200m,
+    "bus_places_200m": bus_places_200m,
+    "places_within_200m": places_within_200m,
+    "health_advisories_sql": health_advisories_sql,
     "redelivered_dedup": redelivered_dedup,
     "retention_summary": retention_summary,
 }
