@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citystream.llm.common import cut, map_rows
+from citystream.llm.common import cut, map_rows, shuffled
 from citystream.llm.components import components
 
 SEED = 42
@@ -157,7 +157,7 @@ def links(distinct: DataFrame, max_bits: int, block: int = BLOCK) -> DataFrame:
     spots = F.expr("""
         concat(if(home, transform(sequence(0, k - 1), j -> struct(own AS i, j, true AS as_home)), array()),
                if(k > 1 OR NOT home, transform(sequence(0, k - 1), i -> struct(i, own AS j, false AS as_home)), array()))""")
-    dealt = (rows.join(used, at)
+    dealt = (rows.join(shuffled(used), at)
              .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("k")).cast("int"))
              .select(*at, "fp", F.inline(spots).alias("i", "j", "as_home")))
     groups = (dealt.groupBy(*at, "i", "j")

@@ -116,3 +116,14 @@ def test_a_replica_is_met_by_every_home():
 def test_chain_is_one_component(spark, block):
     df = spark.createDataFrame([(signed(v),) for v in CHAIN], "fp long").coalesce(1)
     assert {r.node: r.root for r in components(simhash.links(df, 3, block)).collect()} == {v: min(CHAIN) for v in CHAIN}
+
+
+def test_copies_at_anchors_are_never_broadcast(spark):
+    """A fingerprint becomes up to 32 rows, which Spark sizes as one: few enough to broadcast, as it thinks, before and while it runs."""
+    df = spark.createDataFrame([(signed(random.Random(i).getrandbits(64)),) for i in range(3000)], "fp long").distinct()
+    found = simhash.links(df, 3)
+    execution = found._jdf.queryExecution()
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) == 10 << 20
+    assert "SortMergeJoin" in execution.executedPlan().toString()
+    found.collect()
+    assert "isFinalPlan=true" in (plan := execution.executedPlan().toString()) and "Broadcast" not in plan
