@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citystream.llm.common import BROADCAST_ROWS, ascii_lower, bounded, cut, small
+from citystream.llm.common import BROADCAST_ROWS, ascii_lower, bounded, cut, shuffled, small
 from citystream.session import prepare
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -136,17 +136,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
     if few:
         rows = context(hashed.join(F.broadcast(wanted), ["len", "hash"], "left").where("wanted OR len IS NULL"))
     else:
-        rows = context(hashed).join(wanted, ["len", "hash"], "left").where("wanted OR len IS NULL")
+        rows = context(hashed).join(shuffled(wanted), ["len", "hash"], "left").where("wanted OR len IS NULL")
     rows = cut(rows.select("id", "key", "n", "len", "lo", "hi", "near"))
 
     occurring = (rows.where("len IS NOT NULL")
                  .select("key", "len", F.expr("inline(transform(sequence(lo, hi), "
                                               "s -> struct(s, concat_ws(' ', slice(near, s - lo + 1, len)) AS win)))"))
-                 .distinct().join(F.broadcast(wins) if few else wins, ["win", "len"]))
+                 .distinct().join(F.broadcast(wins) if few else shuffled(wins), ["win", "len"]))
     hit = (occurring.select("key", F.explode(F.expr("sequence(s, s + len - 1)")).alias("word")).distinct()
            .groupBy("key").agg(F.count("*").alias("n_hit")))
     listed = (occurring.select("key", "win").distinct()
-              .join(F.broadcast(windows) if few else windows, "win").where("id IS NOT NULL")
+              .join(F.broadcast(windows) if few else shuffled(windows), "win").where("id IS NOT NULL")
               .select("key", F.col("id").cast("string").alias("item")).distinct()
               .groupBy("key").agg(F.array_sort(F.collect_list("item")).alias("items")))
     # One narrow row per hit text, broadcast if counted few: then no document is

@@ -57,6 +57,20 @@ def test_equals_brute_force(spark, monkeypatch, n, shuffled):
     assert run(spark, docs, items, n) == brute(docs, items, n)
 
 
+def test_many_windows_are_not_broadcast(spark, monkeypatch, tmp):
+    """Windows counted too many go by shuffle, also where Spark sizes them as few."""
+    plans, cut = [], decontaminate.cut
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(decontaminate, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(12)))], "item_id long, text string").write.parquet(tmp + "/items")
+    items = spark.read.parquet(tmp + "/items")  # of a file Spark knows the size
+    found = decontaminate.contamination(items.withColumnRenamed("item_id", "doc_id"), items)
+    assert [(r.n_words, r.n_hit, r["items"]) for r in found.collect()] == [(12, 12, ["1"])]
+    _, kept, resolved = plans
+    assert not re.findall(r"BroadcastHashJoin \[(?:len|win)", kept + resolved)
+    assert re.findall(r"SortMergeJoin \[(len|win)", kept + resolved)[:2] == ["len", "win"]
+
+
 def test_every_shared_window_keeps_a_hash_at_one_place(spark):
     """Ties within a window: both sides keep the last of equal hashes."""
     items = [(1, "a a a a a a a a a a a a b")]

@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from citystream.llm import simhash
+from citystream.llm import common, simhash
 from citystream.llm.components import components
 
 
@@ -127,3 +127,11 @@ def test_copies_at_anchors_are_never_broadcast(spark):
     assert "SortMergeJoin" in execution.executedPlan().toString()
     found.collect()
     assert "isFinalPlan=true" in (plan := execution.executedPlan().toString()) and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("most,join", [(5, "SortMergeJoin"), (50, "BroadcastHashJoin")])
+def test_a_side_counted_large_is_shuffled(spark, most, join):
+    """However small Spark takes it to be."""
+    df = spark.range(10)
+    plan = df.join(common.bounded(df, most), "id", "left")._jdf.queryExecution().executedPlan().toString()
+    assert join in plan
